@@ -11,13 +11,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codexflow.llm import exact_dedup, token_counts
+from codexflow.llm import exact_dedup, sentencepiece_bpe, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_bpe.encode_and_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each call begins with an empty cache of its own, so that no count comes from an earlier run."""
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
@@ -39,6 +43,7 @@ WINDOW g AS (PARTITION BY t)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_sentencepiece": op3_sentencepiece,
         "op7_token_counts": op7_token_counts,
         "op9_exact_dedup": op9_exact_dedup,
     }
