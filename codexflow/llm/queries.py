@@ -11,13 +11,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codexflow.llm import exact_dedup, sentencepiece_bpe, token_counts
+from codexflow.llm import exact_dedup, sentencepiece_bpe, shared, token_counts, token_planes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared.shared_dir(spark)}/planes"
+    token_planes.write(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path, end_id=2)
+    return token_planes.read_documents(spark, path)
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.encode_and_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -43,6 +49,7 @@ WINDOW g AS (PARTITION BY t)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_token_planes": op2_token_planes,
         "op3_sentencepiece": op3_sentencepiece,
         "op7_token_counts": op7_token_counts,
         "op9_exact_dedup": op9_exact_dedup,
