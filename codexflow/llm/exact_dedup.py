@@ -84,14 +84,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = shared.stored(docs.mapInArrow(_combine_locally, LOCAL), f"{shared.shared_dir(spark)}/local", compression="uncompressed")
     winners = rows.where(F.col("content").isNotNull()).withColumn("salt", F.pmod(F.shiftright("local", 40), F.lit(salts)).cast("int"))
 
-    by_salt = Window.partitionBy("text_sha256", "salt", "content")
-    salted = winners.select(
-        "local", "text_sha256", "content",
-        F.min("local").over(by_salt).alias("salted"), F.sum("rows").over(by_salt).alias("rows"), F.max("top").over(by_salt).alias("top"),
-    )
+    # The local winners of a group within one salt number at most the tasks' chunks over ``salts``: their ids, not their
+    # content, go along as an array, so that each content is shuffled once to its salt and once to its digest.
+    salted = winners.groupBy("text_sha256", "salt", "content").agg(F.collect_list("local").alias("locals"), F.sum("rows").alias("rows"), F.max("top").alias("top"))
     globally = Window.partitionBy("text_sha256", "content")
-    final = salted.where("local = salted").select("salted", F.sum("rows").over(globally).alias("group_size"), F.max("top").over(globally).alias("keep_id"))
-    groups = salted.select("local", "salted").join(final, "salted").select("local", "group_size", "keep_id")
+    final = salted.select("locals", F.sum("rows").over(globally).alias("group_size"), F.max("top").over(globally).alias("keep_id"))
+    groups = final.select(F.explode("locals").alias("local"), "group_size", "keep_id")
     return rows.select("doc_id", "text_sha256", "local").join(groups, "local").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
