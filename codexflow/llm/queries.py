@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codexflow.llm import exact_dedup, fm_decontam, ppm_language, sentencepiece_bpe, shared, suffix_tree_lm, token_counts, token_planes
+from codexflow.llm import exact_dedup, fm_decontam, ppm_language, quality_ranking, sentencepiece_bpe, shared, suffix_tree_lm, token_counts, token_planes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op10_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_ranking.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP9_SQL = f"""
@@ -92,6 +96,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_token_counts": op7_token_counts,
         "op8_fm_decontam": op8_fm_decontam,
         "op9_exact_dedup": op9_exact_dedup,
+        "op10_quality_ranking": op10_quality_ranking,
     }
 
 
