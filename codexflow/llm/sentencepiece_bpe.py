@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -142,37 +141,58 @@ class Agenda:
             offer(left, after[left])
         return [s for s in symbol if s is not None]
 
-    def words(self, texts: list[str]) -> list[list[int]]:
-        """The ids of each word; a word's marks are spaces here."""
-        found: list = [None] * len(texts)
+    def words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words end to end, and the number of ids of each. A word's marks are spaces here."""
         lengths = np.array([len(t) for t in texts], np.int64)
-        for low, high in ((0, 4), (4, 8), (8, 12), (12, 20), (20, 36), (36, LOCKSTEP)):
+        order, flats, sizes = [], [], []
+        for low, high in ((0, 2), (2, 4), (4, 6), (6, 8), (8, 10), (10, 12), (12, 16), (16, 24), (24, 40), (40, LOCKSTEP)):
             chosen = np.flatnonzero((lengths > low) & (lengths <= high))
             for at in range(0, len(chosen), 20_000):
                 some = chosen[at : at + 20_000]
                 size, width = lengths[some], int(lengths[some].max())
-                points = np.frombuffer("".join([texts[i].ljust(width, "\0") for i in some]).encode("utf-32-le"), np.uint32).reshape(len(some), width).astype(np.int64)
+                points = np.frombuffer("".join([texts[i].ljust(width, "\0") for i in some.tolist()]).encode("utf-32-le"), np.uint32).reshape(len(some), width).astype(np.int64)
                 points[points == 0x20] = ord(MARK)
                 known = np.where(points < len(self.char), self.char[np.minimum(points, len(self.char) - 1)], -1)
                 known = np.where(known < 0, -2 - points, known)
                 known[np.arange(width)[None, :] >= size[:, None]] = -1
-                ids, left = self.in_lockstep(known, size) if width > 1 else (known, size)
-                flat, ends = ids[np.arange(width)[None, :] < left[:, None]].tolist(), np.cumsum(left)
-                odd = (ids < -1).any(1).tolist()
-                begin = 0
-                for i, end, is_odd in zip(some.tolist(), ends.tolist(), odd, strict=True):
-                    found[i] = self.fallen_back(flat[begin:end]) if is_odd else flat[begin:end]
-                    begin = end
+                symbols, left = self.in_lockstep(known, size) if width > 1 else (known, size)
+                order.append(some)
+                flats.append(symbols[np.arange(width)[None, :] < left[:, None]])
+                sizes.append(left)
         for i in np.flatnonzero(lengths > LOCKSTEP).tolist():
-            found[i] = self.fallen_back(self.with_heap(texts[i].replace(" ", MARK)))
-        return [x or [] for x in found]
+            order.append(np.array([i]))
+            flats.append(np.array(self.with_heap(texts[i].replace(" ", MARK)), np.int64))
+            sizes.append(np.array([len(flats[-1])]))
+        if not order:
+            return np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
+        order, sizes, flat = np.concatenate(order), np.concatenate(sizes), np.concatenate(flats)
+        ids, size_of_symbol = self.fallen_back(flat)
+        ends = np.cumsum(sizes)
+        grown = np.concatenate([[0], np.cumsum(size_of_symbol)])[np.concatenate([[0], ends])]
+        begin, size = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+        begin[order], size[order] = grown[:-1], np.diff(grown)
+        return gathered(ids, begin, size), size
 
-    def fallen_back(self, symbols: list[int]) -> list[int]:
-        """Ids, with unknown characters as the ids of their UTF-8 bytes."""
-        out: list[int] = []
-        for s in symbols:
-            out.extend([s] if s >= 0 else self.bytes[list(chr(-2 - s).encode("utf-8"))].tolist())
-        return out
+    def fallen_back(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids, with each unknown character as the ids of its UTF-8 bytes; and the number of ids of each symbol."""
+        point = -2 - symbols
+        known = symbols >= 0
+        size = np.where(known, 1, 1 + (point >= 0x80) + (point >= 0x800) + (point >= 0x10000))
+        if known.all():
+            return symbols, size
+        of = np.repeat(np.arange(len(symbols)), size)
+        k = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+        shift = 6 * (size[of] - 1 - k)
+        byte = (point[of] >> np.maximum(shift, 0)) & 0x3F | 0x80
+        lead = np.array([0, 0, 0xC0, 0xE0, 0xF0])[size[of]] | (point[of] >> np.maximum(shift, 0))
+        byte = np.where(size[of] == 1, point[of] & 0x7F, np.where(k == 0, lead, byte))
+        return np.where(known[of], symbols[of], self.bytes[byte & 0xFF]), size
+
+
+def gathered(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches of ``values`` that start at ``begin`` and have ``size``, end to end."""
+    ends = np.cumsum(size)
+    return values[np.repeat(begin - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 def split_words(texts: pa.Array) -> tuple[pa.LargeBinaryArray, np.ndarray]:
@@ -200,27 +220,51 @@ class Encoder:
     """Encodes Arrow arrays of texts; words already met in this task are not encoded again (bounded by POOL)."""
 
     def __init__(self, path: str):
-        self.agenda, self.pool = Agenda(path), {}
+        self.agenda = Agenda(path)
+        self.clear()
 
-    def __call__(self, texts: pa.Array) -> tuple[list[list[int]], list[bytes]]:
-        """The ids of each text, and the same as decimals joined by commas."""
+    def clear(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.ids, self.begin = np.zeros(1 << 20, np.int32), np.zeros(1, np.int64)
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts end to end, and where each text's ids begin (with the end)."""
         words, counts = split_words(texts)
         coded = words.dictionary_encode()
-        distinct, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        if len(self.pool) > POOL:
-            self.pool.clear()
-        fresh = [w for w in distinct if w not in self.pool]
-        for w, ids in zip(fresh, self.agenda.words([w.decode() for w in fresh]), strict=True):
-            self.pool[w] = (ids, ",".join(map(str, ids)).encode())
-        got = [self.pool[w] for w in distinct]
-        ids_of, text_of = [g[0] for g in got], [g[1] for g in got]
-        ids, joined, at = [], [], 0
-        for n in counts.tolist():
-            part = codes[at : at + n].tolist()
-            at += n
-            ids.append(list(chain.from_iterable([ids_of[c] for c in part])))
-            joined.append(b",".join([text_of[c] for c in part]))
-        return ids, joined
+        distinct, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+        if len(self.known) > POOL:
+            self.clear()
+        fresh = [w for w in distinct if w not in self.known]
+        if fresh:
+            ids, sizes = self.agenda.words([w.decode() for w in fresh])
+            ends = self.begin[-1] + np.cumsum(sizes)
+            if ends[-1] > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), int(ends[-1])), np.int32)])
+            self.ids[self.begin[-1] : ends[-1]] = ids
+            self.known.update(zip(fresh, range(len(self.begin) - 1, len(self.begin) - 1 + len(fresh)), strict=True))
+            self.begin = np.concatenate([self.begin, ends])
+        rows = np.fromiter((self.known[w] for w in distinct), np.int64, len(distinct))[codes]
+        size = self.begin[rows + 1] - self.begin[rows]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        return gathered(self.ids, self.begin[rows], size), ends[np.concatenate([[0], np.cumsum(counts)])]
+
+
+class Decimals:
+    """Writes arrays of ids as decimals joined by commas."""
+
+    def __init__(self, size: int):
+        width = len(str(size - 1)) + 1
+        text = np.array([f"{i},".ljust(width, "\0") for i in range(size)], f"S{width}")
+        self.cells = text.view(np.uint8).reshape(size, width)
+
+    def __call__(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+        """One byte string for each stretch of ``ids``."""
+        cells = self.cells[ids]
+        used = cells != 0
+        raw = cells[used]
+        ends = np.concatenate([[0], np.cumsum(used.sum(1))])[bounds].tolist()
+        raw = raw.tobytes()
+        return [raw[b : max(b, e - 1)] for b, e in zip(ends[:-1], ends[1:], strict=True)]
 
 
 def encode_and_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", keep: str = "digests", check: bool = True) -> DataFrame:
@@ -238,20 +282,23 @@ def encode_and_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id",
         import sentencepiece
 
         library, encoder = sentencepiece.SentencePieceProcessor(model_file=model_path), Encoder(model_path)
+        decimals = Decimals(encoder.agenda.size)
         for batch in shared.chunks(batches, limit=4 << 20):
             texts = pc.fill_null(batch.column("text"), "")
-            ids, joined = encoder(texts)
+            ids, bounds = encoder(texts)
+            each = ids.tolist()
+            each = [each[b:e] for b, e in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
             if check:
-                for doc_id, own, its in zip(batch.column("doc_id").to_pylist(), ids, library.encode(texts.to_pylist(), num_threads=1), strict=True):
+                for doc_id, own, its in zip(batch.column("doc_id").to_pylist(), each, library.encode(texts.to_pylist(), num_threads=1), strict=True):
                     if own != its:
                         raise ValueError(f"document {doc_id}: the agenda's ids differ from the library's")
-            decoded = [library.decode(x) if x else "" for x in ids]
+            decoded = [library.decode(x) if x else "" for x in each]
             if keep == "ids":
-                columns = [pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
+                columns = [pa.array(each, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
             else:
                 columns = [
-                    pa.array([len(x) for x in ids], pa.int64()),
-                    pa.array([hashlib.sha256(x).hexdigest() for x in joined], pa.string()),
+                    pa.array(np.diff(bounds), pa.int64()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in decimals(ids, bounds)], pa.string()),
                     pa.array([hashlib.sha256(x.encode()).hexdigest() for x in decoded], pa.string()),
                 ]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", "ids", "decoded"] if keep == "ids" else ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
