@@ -11,13 +11,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codexflow.llm import exact_dedup, fm_decontam, ppm_language, quality_ranking, sentencepiece_bpe, shared, suffix_tree_lm, token_counts, token_planes
+from codexflow.llm import exact_dedup, fm_decontam, ppm_language, quality_ranking, sentencepiece_bpe, shared, suffix_tree_lm, token_counts, token_planes, toxicity_ordinal
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_ordinal.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op2_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared.shared_dir(spark)}/planes"
     token_planes.write(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path, end_id=2)
@@ -89,6 +93,7 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity_ordinal": op1_toxicity_ordinal,
         "op2_token_planes": op2_token_planes,
         "op3_sentencepiece": op3_sentencepiece,
         "op4_ppm_language": op4_ppm_language,
