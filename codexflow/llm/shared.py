@@ -79,6 +79,19 @@ def chunks(batches, column: str = "text", limit: int = 8 << 20):
             at = to
 
 
+def joined(batches, column: str = "text", limit: int = 16 << 20):
+    """Joins small batches, and cuts large ones, to about ``limit`` bytes of ``column``."""
+    held, size = [], 0
+    for batch in chunks(batches, column, limit):
+        held.append(batch)
+        size += pc.sum(pc.binary_length(batch.column(column))).as_py() or 0
+        if size >= limit // 2:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts end to end, and where each begins (with the end of the last). Nulls have no bytes."""
     texts = pc.fill_null(texts, "")
