@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codexflow.llm import exact_dedup, fm_decontam, ppm_language, quality_ranking, sentencepiece_bpe, shared, suffix_tree_lm, token_counts, token_planes, toxicity_ordinal
+from codexflow.llm import exact_dedup, fm_decontam, ppm_language, quality_ranking, sentencepiece_bpe, shared, shingle_join, suffix_tree_lm, token_counts, token_planes, toxicity_ordinal
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,10 @@ def op5_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree_lm.score_texts(_table(spark, sf_dir, "documents"))
 
 
+def op6_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each call begins with an empty cache of its own, so that no count comes from an earlier run."""
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
@@ -98,6 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_sentencepiece": op3_sentencepiece,
         "op4_ppm_language": op4_ppm_language,
         "op5_suffix_tree_lm": op5_suffix_tree_lm,
+        "op6_shingle_join": op6_shingle_join,
         "op7_token_counts": op7_token_counts,
         "op8_fm_decontam": op8_fm_decontam,
         "op9_exact_dedup": op9_exact_dedup,
