@@ -30,7 +30,7 @@ from codexflow.llm.ppm_language import Table
 
 DEPTH = 5
 END = 256
-CHUNK = 16 << 20
+CHUNK = 10 << 20
 PIECE = 1 << 20
 
 
@@ -78,17 +78,18 @@ def _count_grams(batches):
     def batch():
         return pa.RecordBatch.from_arrays([pa.array(x) for x in _summed(keys, counts)], names=["key", "n"])
 
-    for part in shared.chunks(batches, limit=2 << 20):
+    for part in shared.chunks(batches, limit=1 << 20):
         symbols, _, scored = symbols_of(part.column("text"))
         some = np.sort(keys_of(symbols)[scored])
+        del symbols, scored
         first = np.flatnonzero(np.concatenate([[True], some[1:] != some[:-1]]))
         keys.append(some[first])
         counts.append(np.diff(np.append(first, len(some))))
         held += len(first)
-        if held > 4_000_000:
+        if held > 2_500_000:
             merged = _summed(keys, counts)
             keys, counts, held = [merged[0]], [merged[1]], len(merged[0])
-            if held > 3_000_000:
+            if held > 2_000_000:
                 yield batch()
                 keys, counts, held = [], [], 0
     if keys:
@@ -210,17 +211,14 @@ def _chunked(shipped):
     def run(batches):
         tree, task, serial = shipped.value, TaskContext.get().partitionId() << 24, 0
         pack = zstandard.ZstdCompressor(level=3).compress
-        for batch in _of_about(batches, CHUNK):
+        for batch in shared.joined(batches, limit=CHUNK):
             texts = pc.fill_null(batch.column("text"), "")
-            score = np.concatenate([tree.score(part.column("text")) if tree else 0.0 - math.log10(257) * (pc.binary_length(part.column("text")).to_numpy(zero_copy_only=False) + 1.0) for part in shared.chunks([pa.RecordBatch.from_arrays([texts], names=["text"])], limit=2 << 20)])
+            parts = [part.column("text") for part in shared.chunks([pa.RecordBatch.from_arrays([texts], names=["text"])], limit=1 << 20)]
+            score = np.concatenate([tree.score(x) if tree else -math.log10(257) * (pc.binary_length(x).to_numpy(zero_copy_only=False) + 1.0) for x in parts])
             data, offsets = shared.flat(pc.ascii_lower(texts))
             begins, ends = shared.words(data, offsets, ~shared.SPACE)
-            # each word with the white space or whatever follows cut off: an offset array over words only
-            inside = np.zeros(len(data) + 1, np.int64)
-            np.add.at(inside, begins, 1)
-            np.add.at(inside, ends, -1)
-            body = data[np.cumsum(inside)[:-1] > 0]
-            words = pa.Array.from_buffers(pa.large_string(), len(begins), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(ends - begins)]).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(body))])
+            body = np.ascontiguousarray(data[~shared.SPACE[data]])  # words end to end
+            words = pa.Array.from_buffers(pa.large_string(), len(begins), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(ends - begins)]).astype(np.int64)), pa.py_buffer(body)])
             bounds = np.searchsorted(begins, offsets)
             coded = words.dictionary_encode()
             codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
@@ -242,19 +240,6 @@ def _chunked(shipped):
     return run
 
 
-def _of_about(batches, limit: int):
-    """Joins small batches, and cuts large ones, to about ``limit`` bytes of text."""
-    held, size = [], 0
-    for batch in shared.chunks(batches, limit=limit):
-        held.append(batch)
-        size += pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
-        if size >= limit // 2:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held, size = [], 0
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, log_counts double, score double"
 
 
