@@ -32,8 +32,8 @@ from codexflow.llm import components, shared
 SIZE = 5
 MOST = 4
 VERIFY_COST = 8.0
-LOCAL_LEAST = 4
-FREQUENT_MOST = 1 << 18
+LOCAL_LEAST = 2
+FREQUENT_MOST = 1 << 21
 BROADCAST_MOST = 2_000_000
 MASK = np.uint64((1 << 56) - 1)
 FACTORS = shared.mixed(np.arange(1, SIZE + 1, dtype=np.uint64)) | np.uint64(1)
@@ -62,8 +62,24 @@ def shingles(texts: pa.Array) -> list[np.ndarray]:
     return out
 
 
+FIRST = "kind int, id long, n long, signature binary, b0 long, b1 long, b2 long, b3 long"
+PARITY = ["b0", "b1", "b2", "b3"]
+FIRST_NAMES = ["kind", "id", "n", "signature", "b0", "b1", "b2", "b3"]
+
+
+def parities(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """For each set 256 bits, as four columns of 64: whether an odd number of its shingles falls into each of 256 bins.
+
+    Sets differ in at least as many shingles as their bits differ in places.
+    """
+    bits = np.zeros((len(sets), 256), np.uint8)
+    for row, s in zip(bits, sets, strict=True):
+        row[:] = np.bincount((s & np.uint64(255)).astype(np.int64), minlength=256) & 1
+    return list(np.packbits(bits, axis=1).reshape(len(sets), 4, 8).view(np.int64)[:, :, 0].T.copy()) if sets else [np.zeros(0, np.int64)] * 4
+
+
 def _members_and_frequent(batches):
-    """Of each document its size and signature (kind 0), and the shingles that several sets of a task's chunk hold (kind 1)."""
+    """Of each document its size, signature and parity bits (kind 0), and the shingles that several sets of a task's chunk hold (kind 1)."""
     held, size = [], 0
 
     def frequent():
@@ -71,7 +87,7 @@ def _members_and_frequent(batches):
         some = times >= LOCAL_LEAST
         n = int(some.sum())
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, 1, np.int32)), pa.array(keys[some].astype(np.int64)), pa.array(times[some].astype(np.int64)), pa.nulls(n, pa.binary())], names=["kind", "id", "n", "signature"]
+            [pa.array(np.full(n, 1, np.int32)), pa.array(keys[some].astype(np.int64)), pa.array(times[some].astype(np.int64)), pa.nulls(n, pa.binary()), *[pa.nulls(n, pa.int64())] * 4], names=FIRST_NAMES
         )
 
     seen: set = set()
@@ -79,7 +95,7 @@ def _members_and_frequent(batches):
         sets = shingles(batch.column("text"))
         signatures = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.zeros(len(sets), np.int32)), batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(signatures, pa.binary())], names=["kind", "id", "n", "signature"]
+            [pa.array(np.zeros(len(sets), np.int32)), batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(signatures, pa.binary()), *(pa.array(b) for b in parities(sets))], names=FIRST_NAMES
         )
         for signature, s in zip(signatures, sets, strict=True):
             if signature not in seen:
@@ -99,7 +115,7 @@ class Order:
     def __init__(self, frequent: np.ndarray, times: np.ndarray):
         order = np.argsort(frequent)
         self.frequent = frequent[order].astype(np.uint64)
-        self.classes = np.clip(1 + np.log2(np.maximum(1, times[order])) * 8, 1, 127).astype(np.uint64)
+        self.classes = np.clip(1 + np.log2(np.maximum(1, times[order])) * 8, 1, 127).astype(np.uint8)
         self.marked = np.zeros(1 << 16, bool)
         self.marked[(self.frequent >> np.uint64(40)).astype(np.int64)] = True
 
@@ -111,7 +127,7 @@ class Order:
             some = np.flatnonzero(self.marked[(flat >> np.uint64(40)).astype(np.int64)])
             at = np.minimum(np.searchsorted(self.frequent, flat[some]), len(self.frequent) - 1)
             hit = self.frequent[at] == flat[some]
-            keys[some[hit]] |= self.classes[at[hit]] << np.uint64(56)
+            keys[some[hit]] |= self.classes[at[hit]].astype(np.uint64) << np.uint64(56)
         ends = np.cumsum([len(s) for s in sets])
         return [np.sort(k) for k in np.split(keys, ends[:-1])] if sets else []
 
@@ -220,6 +236,12 @@ def _may_link(n: str, m: str):
     return (5 * F.least(n, m) >= 4 * F.greatest(n, m))
 
 
+def _near_parities():
+    """Whether two documents' parity bits leave room for a link: linked sets differ in (n + m) / 9 shingles at most."""
+    apart = sum((F.bit_count(F.col(f"b{k}_a").bitwiseXOR(F.col(f"b{k}_b"))) for k in range(1, 4)), F.bit_count(F.col("b0_a").bitwiseXOR(F.col("b0_b"))))
+    return F.coalesce(9 * apart <= F.col("n_a") + F.col("n_b"), F.lit(True))
+
+
 def _enough(n: str, m: str, i: str, j: str, before):
     """Whether sets of ``n`` and ``m``, with a shared shingle at places ``i`` and ``j``, can overlap enough."""
     most = before + 1 + F.least(F.col(n) - F.col(i) - 1, F.col(m) - F.col(j) - 1)
@@ -236,8 +258,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     where = shared.shared_dir(spark)
     docs = shared.id_and_text(docs, id_col, text_col)
-    first = shared.stored(docs.mapInArrow(_members_and_frequent, "kind int, id long, n long, signature binary"), f"{where}/first")
-    members = first.where("kind = 0").select(F.col("id").alias("doc"), "n", "signature")
+    first = shared.stored(docs.mapInArrow(_members_and_frequent, FIRST), f"{where}/first")
+    members = first.where("kind = 0").select(F.col("id").alias("doc"), "n", "signature", *PARITY)
 
     counted = first.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n"))
     levels = counted.groupBy(F.floor(F.log2("n") * 4).alias("level")).count().orderBy(F.desc("level")).collect()  # at most 256 rows
@@ -256,7 +278,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     led = met.where((F.col("doc") != F.col("lead")) & _may_link("n", "lead_n"))
     led = led.groupBy("doc", "lead", "n", "lead_n").agg(F.min("pos").alias("pos"), F.min("lead_pos").alias("lead_pos"))
     led = led.where(_enough("n", "lead_n", "pos", "lead_pos", F.lit(0)))
-    led = shared.stored(led.select(F.least("doc", "lead").alias("a"), F.greatest("doc", "lead").alias("b")).distinct(), f"{where}/led")
+    led = led.select(F.least("doc", "lead").alias("a"), F.greatest("doc", "lead").alias("b")).distinct()
+    one = F.min("signature") == F.max("signature")  # an id with several sets has no parity bits, and all its pairs pass
+    bits = members.where("n > 0 AND doc IS NOT NULL").groupBy("doc").agg(F.min("n").alias("n"), *(F.when(one, F.min(c)).alias(c) for c in PARITY))
+    a, b = bits.withColumnsRenamed({"doc": "a", "n": "n_a", **{c: f"{c}_a" for c in PARITY}}), bits.withColumnsRenamed({"doc": "b", "n": "n_b", **{c: f"{c}_b" for c in PARITY}})
+    led = shared.stored(led.join(a, "a").join(b, "b").where(_near_parities()).select("a", "b"), f"{where}/led")
     links = verified(known, led, f"{where}/links")
 
     # classes of equal sets, and for each id the smallest document of its class
@@ -273,12 +299,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return rep.join(joined, F.col("rep") == F.col("node"), "left").select("doc", F.coalesce("component", "rep").alias("label"))
 
     labels = shared.stored(labelled(links, "round1"), f"{where}/labels1")
-    rows = met.select("key", "doc", "n", "pos", "least").join(labels, "doc")
+    # shared shingles before a place lie in both prefixes, so that both documents have them among their met ones
+    before = F.row_number().over(Window.partitionBy("doc").orderBy("pos")) - 1
+    rows = met.select("key", "doc", "n", "pos", "least").join(labels, "doc").withColumn("before", before)
     by_key = Window.partitionBy("key")
     rows = rows.withColumns({"low": F.min("label").over(by_key), "high": F.max("label").over(by_key)}).where("low <> high").drop("low", "high")
+    rows = rows.join(bits.drop("n"), "doc")
     left, right = rows.withColumnsRenamed({c: f"{c}_a" for c in rows.columns if c != "key"}), rows.withColumnsRenamed({c: f"{c}_b" for c in rows.columns if c != "key"})
     apart = left.join(right, "key").where(
-        (F.col("doc_a") < F.col("doc_b")) & (F.col("label_a") != F.col("label_b")) & _may_link("n_a", "n_b") & _enough("n_a", "n_b", "pos_a", "pos_b", F.least("pos_a", "pos_b"))
+        (F.col("doc_a") < F.col("doc_b")) & (F.col("label_a") != F.col("label_b")) & _may_link("n_a", "n_b") & _enough("n_a", "n_b", "pos_a", "pos_b", F.least("before_a", "before_b")) & _near_parities()
     )
     pairs = apart.groupBy("doc_a", "doc_b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("met"), F.min("pos_a").alias("pos_a"), F.min("pos_b").alias("pos_b"), F.least(F.min("least_a"), F.min("least_b")).alias("least"))
     pairs = pairs.where((F.col("met") >= F.col("least")) & _enough("n_a", "n_b", "pos_a", "pos_b", F.lit(0)))
