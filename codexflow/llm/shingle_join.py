@@ -285,8 +285,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     led = shared.stored(led.join(a, "a").join(b, "b").where(_near_parities()).select("a", "b"), f"{where}/led")
     links = verified(known, led, f"{where}/links")
 
-    # classes of equal sets, and for each id the smallest document of its class
-    classes = members.where("n > 0 AND doc IS NOT NULL").select("doc", F.min("doc").over(Window.partitionBy("signature", "n")).alias("rep"))
+    # classes of equal sets, and for each id the smallest document of its class; a hot class is summed up before it is dealt,
+    # and joined, so that no task has to hold it
+    shingled = members.where("n > 0 AND doc IS NOT NULL").select("doc", "n", "signature")
+    classes = shingled.join(shingled.groupBy("signature", "n").agg(F.min("doc").alias("rep")), ["signature", "n"]).select("doc", "rep")
     classes = shared.stored(classes, f"{where}/classes")
     rep = classes.groupBy("doc").agg(F.min("rep").alias("rep"))
     own = classes.join(rep.withColumnRenamed("rep", "least"), "doc").where("rep <> least").select(F.col("least").alias("a"), F.col("rep").alias("b"))
@@ -301,17 +303,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = shared.stored(labelled(links, "round1"), f"{where}/labels1")
     # shared shingles before a place lie in both prefixes, so that both documents have them among their met ones
     before = F.row_number().over(Window.partitionBy("doc").orderBy("pos")) - 1
-    rows = met.select("key", "doc", "n", "pos", "least").join(labels, "doc").withColumn("before", before)
-    by_key = Window.partitionBy("key")
-    rows = rows.withColumns({"low": F.min("label").over(by_key), "high": F.max("label").over(by_key)}).where("low <> high").drop("low", "high")
-    rows = rows.join(bits.drop("n"), "doc")
-    left, right = rows.withColumnsRenamed({c: f"{c}_a" for c in rows.columns if c != "key"}), rows.withColumnsRenamed({c: f"{c}_b" for c in rows.columns if c != "key"})
-    apart = left.join(right, "key").where(
-        (F.col("doc_a") < F.col("doc_b")) & (F.col("label_a") != F.col("label_b")) & _may_link("n_a", "n_b") & _enough("n_a", "n_b", "pos_a", "pos_b", F.least("before_a", "before_b")) & _near_parities()
+    rows = met.select("key", "doc", "n", "pos", "least", "lead").join(labels, "doc").withColumn("before", before)
+    # of each shingle's documents, those in the leader's component need only be compared with the others
+    keys = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.when(F.col("doc") == F.col("lead"), F.col("label"))).alias("major"))
+    rows = rows.drop("lead").join(keys.where("low <> high").select("key", "major"), "key").join(bits.drop("n"), "doc")
+    left, right = (rows.withColumnsRenamed({c: f"{c}_{side}" for c in rows.columns if c != "key"}) for side in "ab")
+    once = (F.col("label_b") == F.col("major_b")) | (F.col("doc_a") < F.col("doc_b"))
+    apart = left.where("label_a <> major_a").join(right, "key").where(
+        (F.col("label_a") != F.col("label_b")) & once & _may_link("n_a", "n_b") & _enough("n_a", "n_b", "pos_a", "pos_b", F.least("before_a", "before_b")) & _near_parities()
+    )
+    ends = [F.struct(*(F.col(f"{c}_{side}").alias(c) for c in ("doc", "n", "pos", "least"))) for side in "ab"]
+    apart = apart.select(F.least(*ends).alias("x"), F.greatest(*ends).alias("y"))  # the smaller document first, whichever led
+    pairs = apart.groupBy(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"), F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b")).agg(
+        F.count(F.lit(1)).alias("met"), F.min("x.pos").alias("pos_a"), F.min("y.pos").alias("pos_b"), F.least(F.min("x.least"), F.min("y.least")).alias("least")
     )
-    pairs = apart.groupBy("doc_a", "doc_b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("met"), F.min("pos_a").alias("pos_a"), F.min("pos_b").alias("pos_b"), F.least(F.min("least_a"), F.min("least_b")).alias("least"))
     pairs = pairs.where((F.col("met") >= F.col("least")) & _enough("n_a", "n_b", "pos_a", "pos_b", F.lit(0)))
-    pairs = pairs.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).join(led, ["a", "b"], "left_anti")
+    pairs = pairs.select("a", "b").distinct().join(led, ["a", "b"], "left_anti")
     more = verified(known, shared.stored(pairs, f"{where}/apart"), f"{where}/more")
     labels = labelled(links.unionByName(more), "round2") if more.limit(1).count() else labels
 

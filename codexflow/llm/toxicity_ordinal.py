@@ -47,7 +47,7 @@ class Ordinal:
     def __init__(self, bounds: np.ndarray, features: np.ndarray, grades: np.ndarray, ridge: float = 0.1, steps: int = 300, rate: float = 0.1, chi_square: float = 10.0):
         n, levels = len(grades), GRADES - 1
         self.weights = np.zeros(1 << BITS)
-        share = np.clip([(grades <= k).mean() if n else 0.5 for k in range(levels)], 0.02, 0.995)
+        share = np.clip([(grades <= k).mean() if n else 1.0 for k in range(levels)], 0.02, 0.995)
         base = np.log(share / (1 - share))
         free = np.concatenate([[base[0]], np.log(np.maximum(0.05, np.diff(base)))])  # differences stay positive
         self.thresholds = np.cumsum(np.concatenate([[free[0]], np.exp(free[1:])]))
