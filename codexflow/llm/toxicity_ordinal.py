@@ -44,7 +44,7 @@ def sparse(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Ordinal:
     """Shared weights and ascending thresholds, fitted by full-batch gradient steps on the penalised likelihood."""
 
-    def __init__(self, bounds: np.ndarray, features: np.ndarray, grades: np.ndarray, ridge: float = 0.1, steps: int = 300, rate: float = 0.1, chi_square: float = 10.0):
+    def __init__(self, bounds: np.ndarray, features: np.ndarray, grades: np.ndarray, ridge: float = 0.5, steps: int = 300, rate: float = 0.1, chi_square: float = 10.0):
         n, levels = len(grades), GRADES - 1
         self.weights = np.zeros(1 << BITS)
         share = np.clip([(grades <= k).mean() if n else 1.0 for k in range(levels)], 0.02, 0.995)
@@ -108,7 +108,7 @@ def grades_of(bounds: np.ndarray, features: np.ndarray, toxic: np.ndarray) -> np
     return np.where(toxic == 1, 1 + (held > cuts[0]) + (held > cuts[1]), 0).astype(np.int64)
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", fit_rows: int = 12_000, longest: int = 1 << 16, flag_from: float = 0.2) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", fit_rows: int = 12_000, longest: int = 1 << 16, flag_from: float = 0.35) -> DataFrame:
     """``doc_id, held_out, grade, expected_severity, p_toxic, toxic`` for every row of ``docs``.
 
     ``expected_severity`` lies between 0 and 3, ``grade`` is the most probable grade, ``p_toxic`` is P(grade > 0) and
