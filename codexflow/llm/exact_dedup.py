@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from codexflow.llm import shared
 
-FLUSH_BYTES = 24 << 20
+FLUSH_BYTES = 16 << 20
 LOCAL = "doc_id long, text_sha256 string, local long, content binary, rows long, top long"
 
 

@@ -286,22 +286,25 @@ def encode_and_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id",
         for batch in shared.chunks(batches, limit=4 << 20):
             texts = pc.fill_null(batch.column("text"), "")
             ids, bounds = encoder(texts)
-            each = ids.tolist()
-            each = [each[b:e] for b, e in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-            if check:
-                for doc_id, own, its in zip(batch.column("doc_id").to_pylist(), each, library.encode(texts.to_pylist(), num_threads=1), strict=True):
-                    if own != its:
-                        raise ValueError(f"document {doc_id}: the agenda's ids differ from the library's")
-            decoded = [library.decode(x) if x else "" for x in each]
+            columns = [[], []]
+            for part in shared.chunks([batch.slice(0)], limit=1 << 18):  # lists of a few documents' ids at a time
+                at = len(columns[0])
+                own = [ids[bounds[k] : bounds[k + 1]].tolist() for k in range(at, at + part.num_rows)]
+                if check:
+                    theirs = library.encode(texts.slice(at, part.num_rows).to_pylist(), num_threads=1)
+                    for k, (x, y) in enumerate(zip(own, theirs, strict=True)):
+                        if x != y:
+                            raise ValueError(f"document {part.column('doc_id')[k]}: the agenda's ids differ from the library's")
+                decoded = [library.decode(x) if x else "" for x in own]
+                columns[0] += own if keep == "ids" else [len(x) for x in own]
+                columns[1] += decoded if keep == "ids" else [hashlib.sha256(x.encode()).hexdigest() for x in decoded]
             if keep == "ids":
-                columns = [pa.array(each, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(columns[0], pa.list_(pa.int32())), pa.array(columns[1], pa.string())], names=["doc_id", "ids", "decoded"])
             else:
-                columns = [
-                    pa.array(np.diff(bounds), pa.int64()),
-                    pa.array([hashlib.sha256(x).hexdigest() for x in decimals(ids, bounds)], pa.string()),
-                    pa.array([hashlib.sha256(x.encode()).hexdigest() for x in decoded], pa.string()),
-                ]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", "ids", "decoded"] if keep == "ids" else ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                digests = [hashlib.sha256(x).hexdigest() for x in decimals(ids, bounds)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), pa.array(columns[0], pa.int64()), pa.array(digests, pa.string()), pa.array(columns[1], pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+                )
 
     schema = "doc_id long, ids array<int>, decoded string" if keep == "ids" else "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return shared.id_and_text(docs, id_col, text_col).mapInArrow(run, schema)

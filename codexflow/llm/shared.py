@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
+import sys
 import tempfile
 import uuid
 
@@ -63,7 +65,7 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def chunks(batches, column: str = "text", limit: int = 8 << 20):
+def chunks(batches, column: str = "text", limit: int = 4 << 20):
     """Cuts Arrow batches so that each piece holds about ``limit`` bytes of ``column``; one longer text stays whole."""
     for batch in batches:
         n = batch.num_rows
@@ -77,6 +79,14 @@ def chunks(batches, column: str = "text", limit: int = 8 << 20):
             to = max(at + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.slice(at, to - at)
             at = to
+    trim()
+
+
+def trim() -> None:
+    """Gives freed memory back to the system: Spark keeps Python workers for later tasks, and with them their peak."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def joined(batches, column: str = "text", limit: int = 16 << 20):

@@ -102,7 +102,7 @@ def _members_and_frequent(batches):
                 seen.add(signature)
                 held.append(s)
                 size += len(s)
-        if size > 6_000_000:
+        if size > 2_500_000:
             yield frequent()
             held, size, seen = [], 0, set()
     if size:
