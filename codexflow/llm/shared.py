@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import math
+import re
 import sys
 import tempfile
 import uuid
@@ -14,6 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -44,8 +46,16 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Lowers the session's limit of bytes in an Arrow batch: each task holds several such batches in the JVM and in Python."""
+    size, unit = re.fullmatch(r"(-?\d+)([kmg]?)b?", spark.conf.get(BATCH_CONF).lower()).groups()
+    if not 0 < int(size) << {"": 0, "k": 10, "m": 20, "g": 30}[unit] <= BATCH_BYTES:
+        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
+
+
 def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the two columns that an operator reads, under fixed names; columns with clashing names stay behind."""
+    bound_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
