@@ -73,7 +73,7 @@ def sidecars(raw: DataFrame) -> DataFrame:
 
 
 def read_sidecars(spark: SparkSession, root: str) -> DataFrame:
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.metadata.json").text(root)
+    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.metadata.json")
     return sidecars(files.select(F.regexp_replace(F.input_file_name(), r"\.metadata\.json$", "").alias("path"), F.col("value").alias("json")))
 
 
@@ -82,7 +82,7 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
     The file is read in one stretch, as line numbers need what stands before; a manifest is a driver-sized list of files.
     """
-    lines = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split("value", "\r?\n")).alias("at", "value"))
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("at", "value"))
     return lines.where(F.trim("value") != "").select((F.col("at") + 1).alias("line"), "value")
 
 
