@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from codexflow.functions import rights as R
 from codexflow.functions import signatures as S
 from codexflow.functions import text as T
-from codexflow.operators import audits, bindings, harvest, near_duplicates, profiling, retrieval, segmentation
+from codexflow.operators import audits, bindings, harvest, near_duplicates, profiling, retrieval, segmentation, structure
 from codexflow.sources import readers, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,20 +105,16 @@ def line_blocks_offsets(spark, d):
     return segmentation.lines_of(pages).select("document_id", "line_no", "raw_start", "raw_end", F.lit(True).alias("keep"))
 
 
-@query("""WITH l AS (SELECT conv_id, turn, i, trim(ls[i]) AS line FROM (SELECT conv_id, turn, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT conv_id, turn, string_split(text, chr(10)) AS ls FROM conversations))),
-f AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY i) AS a, row_number() OVER (PARTITION BY conv_id, turn ORDER BY i DESC) AS b FROM l WHERE line <> ''),
-s AS (SELECT conv_id, count(DISTINCT turn) AS n FROM conversations GROUP BY 1),
-c AS (SELECT conv_id, line, count(DISTINCT turn) AS pages FROM f WHERE a <= 2 OR b <= 2 GROUP BY 1, 2)
-SELECT CAST(conv_id AS VARCHAR) AS document_id, line, pages FROM c JOIN s USING (conv_id) WHERE pages >= greatest(2, floor((n * 3 + 4) / 5) - 1) AND length(line) <= 160""")
+@query(f"""WITH p AS (SELECT source AS d, doc_id AS page, 'Journal of ' || source || chr(10) || text || chr(10) || 'Abstract' || chr(10) || lang AS text FROM documents),
+l AS (SELECT d, page, i, trim(ls[i], ' ') AS line FROM (SELECT d, page, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT d, page, string_split(text, chr(10)) AS ls FROM p))),
+f AS (SELECT *, row_number() OVER (PARTITION BY d, page ORDER BY i) AS a, row_number() OVER (PARTITION BY d, page ORDER BY i DESC) AS b FROM l WHERE line <> ''),
+s AS (SELECT d, count(DISTINCT page) AS n FROM p GROUP BY 1), c AS (SELECT d, line, count(DISTINCT page) AS pages FROM f WHERE a <= 2 OR b <= 2 GROUP BY 1, 2)
+SELECT d AS document_id, line, pages FROM c JOIN s USING (d) WHERE pages >= greatest(3, floor((n * 3 + 4) / 5)) AND length(line) <= 160 AND ({HEAD_SQL}) IS NULL""")
 def page_margins(spark, d):
-    """Margins by a quorum of one page less than usual, since turns rarely repeat."""
-    lines = segmentation.lines_of(source_pages(spark, d))
-    full = lines.select("document_id", "page", "line_no", F.trim("line").alias("line")).where("line <> ''")
-    up, down = (Window.partitionBy("document_id", "page").orderBy(o) for o in (F.col("line_no"), F.col("line_no").desc()))
-    edge = full.withColumns({"a": F.row_number().over(up), "b": F.row_number().over(down)}).where("a <= 2 OR b <= 2")
-    sizes = source_pages(spark, d).groupBy("document_id").agg(F.count_distinct("page").alias("n"))
-    counted = edge.groupBy("document_id", "line").agg(F.count_distinct("page").alias("pages")).join(sizes, "document_id")
-    return counted.where((F.col("pages") >= F.greatest(F.lit(2), F.floor((F.col("n") * 3 + 4) / 5) - 1)) & (F.length("line") <= 160)).select("document_id", "line", "pages")
+    """Each source is a document whose pages bear its name above, and a heading and their language below."""
+    text = F.concat(F.lit("Journal of "), "source", F.lit("\n"), "text", F.lit("\nAbstract\n"), "lang")
+    pages = table(spark, d, "documents").select(F.col("source").alias("document_id"), F.col("doc_id").alias("page"), text.alias("text"))
+    return segmentation.margins(segmentation.lines_of(pages))
 
 
 @query("""SELECT doc_id, i AS chunk_no, i * 5800 AS char_start, least(i * 5800 + 6000, length(text)) AS char_end, sha256(substr(text, i * 5800 + 1, 6000)) AS chunk_sha256
@@ -666,3 +662,55 @@ def cleanup_audit(spark, d):
 @query()
 def chunk_metrics(spark, d):
     return audits.manifest_metrics(segmentation.chunks(source_pages(spark, d)))
+
+
+@query("""SELECT CAST(l_orderkey AS VARCHAR) AS document_id, CAST(page AS INTEGER) AS page, string_agg(l_returnflag || l_linestatus, chr(10) ORDER BY l_linenumber, l_returnflag || l_linestatus) AS text
+FROM (SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus, unnest(list_distinct([l_linenumber % 3 + 1, l_suppkey % 2 + 1])) AS page FROM lineitem) GROUP BY l_orderkey, page""")
+def page_reassembly(spark, d):
+    """Order lines as layout blocks that lie on one or two pages."""
+    pages = F.array((F.col("l_linenumber") % 3 + 1).cast("int"), (F.col("l_suppkey") % 2 + 1).cast("int"))
+    blocks = table(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("document_id"), F.col("l_linenumber").alias("item"), F.concat("l_returnflag", "l_linestatus").alias("text"), pages.alias("pages"))
+    return structure.page_texts(blocks)
+
+
+@query("""SELECT l_orderkey AS document_id, min(l_linenumber) AS page_start, max(l_linenumber) AS page_end, 'sha256:' || l_orderkey || '#page=' || min(l_linenumber) AS anchor FROM lineitem GROUP BY l_orderkey""")
+def coordinate_ranges(spark, d):
+    rows = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("document_id")).agg(F.collect_list(F.struct(F.col("l_linenumber").alias("page"), F.col("l_tax").alias("x"))).alias("coords"))
+    return structure.anchored(structure.page_range(rows)).drop("coords")
+
+
+@query("""SELECT c_custkey AS document_id, coalesce(CASE WHEN c_custkey % 2 = 0 THEN c_name END, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END) AS title,
+coalesce(coalesce(CASE WHEN c_custkey % 2 = 0 THEN c_name END, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END), 'Document') AS heading, CASE WHEN c_custkey % 5 = 0 THEN 'own' ELSE 'found' END AS author FROM customer""")
+def provenance_fallback(spark, d):
+    rows = table(spark, d, "customer")
+    documents = rows.select(F.col("c_custkey").alias("document_id"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_name")).otherwise(F.lit("")).alias("title"), F.when(F.col("c_custkey") % 5 == 0, F.array(F.lit("own"))).otherwise(F.array().cast("array<string>")).alias("authors"))
+    found = rows.select(F.col("c_custkey").alias("document_id"), F.when(F.col("c_custkey") % 3 == 0, F.col("c_mktsegment")).alias("title"), F.array(F.lit("found")).alias("authors"))
+    return structure.with_structure(documents, found).select("document_id", "title", "heading", F.get("authors", F.lit(0)).alias("author"))
+
+
+@query("SELECT n_nationkey AS id, CASE n_nationkey % 4 WHEN 0 THEN 'dim' WHEN 1 THEN 'etdms' WHEN 2 THEN 'oai_dc' ELSE 'oai_dc' END AS prefix FROM nation")
+def prefix_choice(spark, d):
+    kinds = F.array(F.array(F.lit("oai_dc"), F.lit("dim")), F.array(F.lit("qdc"), F.lit("etdms")), F.array(F.lit("oai_dc")), F.array(F.lit("marc")))
+    return table(spark, d, "nation").select(F.col("n_nationkey").alias("id"), harvest.chosen_prefix(F.element_at(kinds, (F.col("n_nationkey") % 4 + 1).cast("int"))).alias("prefix"))
+
+
+@query("SELECT n_regionkey AS id, list_sort(list(n_name))[1:60] AS thesis_sets FROM nation WHERE regexp_matches(n_name, '(?i)thes|dissert|etd|doctor|phd|promot|論文|学位') GROUP BY n_regionkey UNION ALL SELECT r_regionkey + 100, ['etd_' || r_name] FROM region")
+def thesis_like_sets(spark, d):
+    sets = table(spark, d, "nation").select(F.col("n_regionkey").alias("id"), F.col("n_name").alias("set_spec"), F.lit("").alias("set_name"))
+    more = table(spark, d, "region").select((F.col("r_regionkey") + 100).alias("id"), F.concat(F.lit("etd_"), "r_name").alias("set_spec"), F.lit("x").alias("set_name"))
+    return harvest.thesis_sets(sets.unionByName(more))
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id % 4 <> 2")
+def level_filter(spark, d):
+    level = F.element_at(F.array(*map(F.lit, ["doctoral", "unspecified", "master", "doctoral"])), (F.col("doc_id") % 4 + 1).cast("int"))
+    return harvest.level_filter(table(spark, d, "documents").withColumn("level", level), "doctoral").select("doc_id")
+
+
+@query("""SELECT user_id, count(*) AS events, CASE WHEN max(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) = 1 THEN 'file changed since it was bound' WHEN count(*) FILTER (WHERE event_type = 'signup') = 0 THEN 'no binding' END AS error FROM events GROUP BY user_id""")
+def binding_revalidation(spark, d):
+    """Users as files: one with an error event has changed since it was bound, one without a signup was never bound."""
+    users = table(spark, d, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("events"), F.max((F.col("event_type") == "error").cast("int")).alias("changed"), F.max((F.col("event_type") == "signup").cast("int")).alias("signed"))
+    sources = users.select(F.col("user_id").alias("path"), F.concat(F.lit("v"), F.col("changed").cast("string")).alias("fingerprint"), "events")
+    links = users.where("signed = 1 OR changed = 1").select(F.col("user_id").alias("path"), F.lit("v0").alias("fingerprint"))
+    return bindings.bound(sources, links).select(F.col("path").alias("user_id"), "events", "error")
