@@ -96,6 +96,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_winners(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose id wins its group of equal texts."""
-    kept = exact_dedup(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("__kept_id")).distinct()
-    return docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("__kept_id")), "left_semi")
+    """The rows of ``docs``, with all their columns, whose id wins a group of equal texts."""
+    wins = exact_dedup(docs, id_col, text_col).groupBy("doc_id").agg(F.bool_or("kept").alias("wins"))
+    return shared.without(docs, id_col, wins.where("NOT wins").select(F.col("doc_id").alias("gone_id")))

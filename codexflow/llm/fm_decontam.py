@@ -266,8 +266,8 @@ def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
 
 def remove_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", window: int = WINDOW) -> DataFrame:
     """The rows of ``docs``, with all their columns, in which no benchmark window occurs."""
-    hit = find_contamination(docs, benchmark, id_col, text_col, item_col, window).where("n_hit > 0").select(F.col("doc_id").alias("__hit_id")).distinct()
-    return docs.join(hit, F.col(id_col).cast("long").eqNullSafe(F.col("__hit_id")), "left_anti")
+    hit = find_contamination(docs, benchmark, id_col, text_col, item_col, window).where("n_hit > 0")
+    return shared.without(docs, id_col, hit.select(F.col("doc_id").alias("gone_id")))
 
 
 def digest(items: list[str]) -> str:

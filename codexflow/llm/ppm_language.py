@@ -213,5 +213,5 @@ def identify_with_training(docs: DataFrame, lang_col: str = "lang", per_language
 
 def keep_identified(docs: DataFrame, lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs``, with all their columns, except those that language identification rejects as ``und``."""
-    rejected = identify_with_training(docs, lang_col).where("lang_pred = 'und'").select(F.col("doc_id").alias("__rejected_id")).distinct()
-    return docs.join(rejected, F.col("doc_id").cast("long").eqNullSafe(F.col("__rejected_id")), "left_anti")
+    rejected = identify_with_training(docs, lang_col).where("lang_pred = 'und'")
+    return shared.without(docs, "doc_id", rejected.select(F.col("doc_id").alias("gone_id")))

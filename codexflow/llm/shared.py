@@ -15,6 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BROADCAST_MOST = 2_000_000  # ids, hence 16 MB
 BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -41,6 +42,18 @@ def stored(df: DataFrame, where: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(where)
 
 
+def without(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose id is not in ``gone`` (column gone_id, nulls included).
+
+    The ids that go are stored and counted: up to BROADCAST_MOST of them are broadcast, so that no text is shuffled; more are
+    joined by a shuffle.
+    """
+    gone = stored(gone.select(F.col("gone_id").cast("long").alias("gone_id")).distinct(), f"{shared_dir(docs.sparkSession)}/gone")
+    if gone.count() <= BROADCAST_MOST:
+        gone = F.broadcast(gone)
+    return docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("gone_id")), "left_anti")
+
+
 def text_of(name: str = "text") -> Column:
     """A text column whose nulls count as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -34,7 +34,6 @@ MOST = 4
 VERIFY_COST = 8.0
 LOCAL_LEAST = 2
 FREQUENT_MOST = 1 << 21
-BROADCAST_MOST = 2_000_000
 MASK = np.uint64((1 << 56) - 1)
 FACTORS = shared.mixed(np.arange(1, SIZE + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -91,7 +90,7 @@ def _members_and_frequent(batches):
         )
 
     seen: set = set()
-    for batch in shared.chunks(batches):
+    for batch in shared.chunks(batches, limit=2 << 20):
         sets = shingles(batch.column("text"))
         signatures = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
         yield pa.RecordBatch.from_arrays(
@@ -102,7 +101,7 @@ def _members_and_frequent(batches):
                 seen.add(signature)
                 held.append(s)
                 size += len(s)
-        if size > 2_500_000:
+        if size > 2_000_000:
             yield frequent()
             held, size, seen = [], 0, set()
     if size:
@@ -152,7 +151,7 @@ PREFIX = "key long, doc long, n int, pos int, least int, common double"
 
 def _prefixes(order):
     def run(batches):
-        for batch in shared.chunks(batches, limit=4 << 20):
+        for batch in shared.chunks(batches, limit=2 << 20):
             sets = order.value.keys(shingles(batch.column("text")))
             seen, columns = set(), [[] for _ in range(6)]
             for doc, keys in zip(batch.column("doc_id").to_pylist(), sets, strict=True):
@@ -216,14 +215,14 @@ def _verify(batches):
 
 
 def _sets(batches):
-    for batch in shared.chunks(batches):
+    for batch in shared.chunks(batches, limit=2 << 20):
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s.tobytes() for s in shingles(batch.column("text"))], pa.binary())], names=["doc", "members"])
 
 
 def verified(docs: DataFrame, pairs: DataFrame, where: str) -> DataFrame:
     """Those of ``pairs`` (a, b) whose whole sets link, written at ``where``."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    if needed.count() <= BROADCAST_MOST:
+    if needed.count() <= shared.BROADCAST_MOST:
         needed = F.broadcast(needed)
     sets = docs.join(needed, "doc_id", "left_semi").mapInArrow(_sets, "doc long, members binary")
     sets = shared.stored(sets, f"{where}-sets", compression="uncompressed")
@@ -327,5 +326,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_smallest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, whose id names its component: one document of each group."""
-    gone = near_duplicates(docs, id_col, text_col).where("component_id <> doc_id").select(F.col("doc_id").alias("__gone_id")).distinct()
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone_id"), "left_anti")
+    gone = near_duplicates(docs, id_col, text_col).where("component_id <> doc_id")
+    return shared.without(docs, id_col, gone.select(F.col("doc_id").alias("gone_id")))
