@@ -18,11 +18,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from codexflow.llm import shared
+from codexflow.llm.ppm_language import Table
 
 MARK = "▁"
 NONE = np.iinfo(np.int64).max
 LOCKSTEP = 64
-POOL = 400_000
 
 
 class Agenda:
@@ -57,9 +57,9 @@ class Agenda:
             for cut in range(1, len(p)):
                 if (a := self.ids.get(p[:cut])) is not None and (b := self.ids.get(p[cut:])) is not None:
                     pairs[a * self.size + b] = (rank[p], i)
-        self.keys = np.array(sorted(pairs), np.int64)
-        self.rank = np.array([pairs[k][0] for k in self.keys.tolist()], np.int64)
-        self.merged = np.array([pairs[k][1] for k in self.keys.tolist()], np.int64)
+        self.table = Table(np.array(list(pairs), np.int64))
+        self.rank = np.array([rank for rank, _ in pairs.values()], np.int64)
+        self.merged = np.array([i for _, i in pairs.values()], np.int64)
         self.pairs = pairs
         points = [(ord(p), i) for p, i in self.ids.items() if len(p) == 1]
         self.char = np.full(max(c for c, _ in points) + 1, -1, np.int64)
@@ -68,10 +68,8 @@ class Agenda:
 
     def look_up(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and merged id of each pair; NONE where there is no such merge."""
-        key = np.where((a < 0) | (b < 0), -1, a * self.size + b)
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        hit = self.keys[at] == key
-        return np.where(hit, self.rank[at], NONE), self.merged[at]
+        at = self.table.find(np.where((a < 0) | (b < 0), -1, a * self.size + b).ravel()).reshape(a.shape)
+        return np.where(at >= 0, self.rank[at], NONE), self.merged[at]
 
     def in_lockstep(self, symbols: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Merges all rows at once. ``symbols``: rows of ids, -2-c for an unknown character c, -1 beyond ``length``."""
@@ -141,27 +139,30 @@ class Agenda:
             offer(left, after[left])
         return [s for s in symbol if s is not None]
 
-    def words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all words end to end, and the number of ids of each. A word's marks are spaces here."""
-        lengths = np.array([len(t) for t in texts], np.int64)
+    def words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words (binaries) end to end, and the number of ids of each. A word's marks are spaces here."""
+        data, offsets = _bytes_of(texts)
+        points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32).astype(np.int64)
+        starts = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
+        first, lengths = starts[:-1], np.diff(starts)
+        points[points == 0x20] = ord(MARK)
+        symbols = np.where(points < len(self.char), self.char[np.minimum(points, len(self.char) - 1)], -1)
+        symbols = np.where(symbols < 0, -2 - points, symbols)
         order, flats, sizes = [], [], []
         for low, high in ((0, 2), (2, 4), (4, 6), (6, 8), (8, 10), (10, 12), (12, 16), (16, 24), (24, 40), (40, LOCKSTEP)):
             chosen = np.flatnonzero((lengths > low) & (lengths <= high))
             for at in range(0, len(chosen), 20_000):
                 some = chosen[at : at + 20_000]
                 size, width = lengths[some], int(lengths[some].max())
-                points = np.frombuffer("".join([texts[i].ljust(width, "\0") for i in some.tolist()]).encode("utf-32-le"), np.uint32).reshape(len(some), width).astype(np.int64)
-                points[points == 0x20] = ord(MARK)
-                known = np.where(points < len(self.char), self.char[np.minimum(points, len(self.char) - 1)], -1)
-                known = np.where(known < 0, -2 - points, known)
-                known[np.arange(width)[None, :] >= size[:, None]] = -1
-                symbols, left = self.in_lockstep(known, size) if width > 1 else (known, size)
+                inside = np.arange(width)[None, :] < size[:, None]
+                rows = np.where(inside, symbols[np.minimum(first[some][:, None] + np.arange(width)[None, :], len(symbols) - 1)], -1)
+                merged, left = self.in_lockstep(rows, size) if width > 1 else (rows, size)
                 order.append(some)
-                flats.append(symbols[np.arange(width)[None, :] < left[:, None]])
+                flats.append(merged[np.arange(width)[None, :] < left[:, None]])
                 sizes.append(left)
         for i in np.flatnonzero(lengths > LOCKSTEP).tolist():
             order.append(np.array([i]))
-            flats.append(np.array(self.with_heap(texts[i].replace(" ", MARK)), np.int64))
+            flats.append(np.array(self.with_heap("".join(map(chr, points[first[i] : first[i] + lengths[i]].tolist()))), np.int64))
             sizes.append(np.array([len(flats[-1])]))
         if not order:
             return np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
@@ -189,6 +190,13 @@ class Agenda:
         return np.where(known[of], symbols[of], self.bytes[byte & 0xFF]), size
 
 
+def _bytes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of an array of large binaries, and where each begins (with the end)."""
+    offsets = np.frombuffer(words.buffers()[1], np.int64, len(words) + 1, words.offset * 8)
+    data = np.frombuffer(words.buffers()[2], np.uint8) if words.buffers()[2] is not None else np.zeros(0, np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
 def gathered(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The stretches of ``values`` that start at ``begin`` and have ``size``, end to end."""
     ends = np.cumsum(size)
@@ -217,36 +225,23 @@ def split_words(texts: pa.Array) -> tuple[pa.LargeBinaryArray, np.ndarray]:
 
 
 class Encoder:
-    """Encodes Arrow arrays of texts; words already met in this task are not encoded again (bounded by POOL)."""
+    """Encodes Arrow arrays of texts; each distinct word of an array is encoded once."""
 
     def __init__(self, path: str):
         self.agenda = Agenda(path)
-        self.clear()
-
-    def clear(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.ids, self.begin = np.zeros(1 << 20, np.int32), np.zeros(1, np.int64)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts end to end, and where each text's ids begin (with the end)."""
         words, counts = split_words(texts)
+        if not len(words):
+            return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
         coded = words.dictionary_encode()
-        distinct, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
-        if len(self.known) > POOL:
-            self.clear()
-        fresh = [w for w in distinct if w not in self.known]
-        if fresh:
-            ids, sizes = self.agenda.words([w.decode() for w in fresh])
-            ends = self.begin[-1] + np.cumsum(sizes)
-            if ends[-1] > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), int(ends[-1])), np.int32)])
-            self.ids[self.begin[-1] : ends[-1]] = ids
-            self.known.update(zip(fresh, range(len(self.begin) - 1, len(self.begin) - 1 + len(fresh)), strict=True))
-            self.begin = np.concatenate([self.begin, ends])
-        rows = np.fromiter((self.known[w] for w in distinct), np.int64, len(distinct))[codes]
-        size = self.begin[rows + 1] - self.begin[rows]
+        ids, sizes = self.agenda.words(coded.dictionary)
+        ids, begin = ids.astype(np.int32), np.cumsum(sizes) - sizes
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        size = sizes[codes]
         ends = np.concatenate([[0], np.cumsum(size)])
-        return gathered(self.ids, self.begin[rows], size), ends[np.concatenate([[0], np.cumsum(counts)])]
+        return gathered(ids, begin[codes], size), ends[np.concatenate([[0], np.cumsum(counts)])]
 
 
 class Decimals:
@@ -283,7 +278,7 @@ def encode_and_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id",
 
         library, encoder = sentencepiece.SentencePieceProcessor(model_file=model_path), Encoder(model_path)
         decimals = Decimals(encoder.agenda.size)
-        for batch in shared.chunks(batches, limit=4 << 20):
+        for batch in shared.joined(batches, limit=8 << 20):
             texts = pc.fill_null(batch.column("text"), "")
             ids, bounds = encoder(texts)
             columns = [[], []]

@@ -80,7 +80,7 @@ def test_lockstep_and_heap_agree():
     agenda = sentencepiece_bpe.Agenda(PIECE)
     rng = random.Random(1)
     words = [" " + "".join(rng.choice("abcdeinorst") for _ in range(rng.randint(1, 60))) for _ in range(300)]
-    ids, sizes = agenda.words(words)
+    ids, sizes = agenda.words(pa.array([w.encode() for w in words], pa.large_binary()))
     own = np.split(ids, np.cumsum(sizes)[:-1])
     assert [x.tolist() for x in own] == [agenda.fallen_back(np.array(agenda.with_heap(w.replace(" ", "▁"))))[0].tolist() for w in words]
 
