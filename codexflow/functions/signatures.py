@@ -49,19 +49,25 @@ def hex16(signature: Column) -> Column:
 def simhash_md5(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, simhash`` by the first 60 bits of MD5 of the word trigrams: the same construction inside the JVM.
 
-    Distinct trigrams are counted before bits are summed, so a repeated passage is hashed once.
+    Bits are counted in lanes of 21, three to a number, over stretches of 2^20 trigrams, so that no lane runs over. A text's
+    trigrams are summed up in the task that made them: what is shuffled is a row for each text and stretch.
     """
     words = F.regexp_extract_all(normalized(F.col(text_col)), F.lit(r"(?U)(\w+)"), 1)
     rows = docs.select(F.col(id_col).alias("doc_id"), words.alias("w")).where(F.size("w") >= 3)
-    trigrams = rows.select("doc_id", F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 2), lambda i: F.array_join(F.slice("w", i, 3), " "))).alias("t"))
-    counted = trigrams.groupBy("doc_id", "t").agg(F.count(F.lit(1)).alias("n"))
-    hashed = counted.select("doc_id", "n", F.conv(F.substring(F.md5(F.col("t").cast("binary")), 1, 15), 16, 10).cast("long").alias("h"))
-    sums = [F.sum(F.when(F.shiftright("h", bit).bitwiseAND(1) == 1, F.col("n")).otherwise(-F.col("n"))).alias(f"s{bit}") for bit in range(60)]
-    folded = hashed.groupBy("doc_id").agg(*sums)
+    trigrams = rows.select("doc_id", F.posexplode(F.transform(F.sequence(F.lit(1), F.size("w") - 2), lambda i: F.array_join(F.slice("w", i, 3), " "))).alias("at", "t"))
+    hashed = trigrams.select("doc_id", F.shiftright("at", 20).alias("stretch"), F.conv(F.substring(F.md5(F.col("t").cast("binary")), 1, 15), 16, 10).cast("long").alias("h"))
+
+    def bit(k: int) -> Column:
+        return F.shiftright("h", k).bitwiseAND(1)
+
+    lanes = [F.sum(bit(k).bitwiseOR(F.shiftleft(bit(k + 20), 21)).bitwiseOR(F.shiftleft(bit(k + 40), 42))).alias(f"l{k}") for k in range(20)]
+    packed = hashed.groupBy("doc_id", "stretch").agg(F.count(F.lit(1)).alias("n"), *lanes)
+    ones = [F.sum(F.shiftright(f"l{k % 20}", 21 * (k // 20)).bitwiseAND((1 << 21) - 1)).alias(f"b{k}") for k in range(60)]
+    whole = packed.groupBy("doc_id").agg(F.sum("n").alias("n"), *ones)
     value = F.lit(0).cast("long")
-    for bit in range(60):
-        value = value + F.when(F.col(f"s{bit}") > 0, F.lit(1 << bit).cast("long")).otherwise(F.lit(0).cast("long"))
-    return folded.select("doc_id", value.alias("simhash"))
+    for k in range(60):
+        value = value + F.when(2 * F.col(f"b{k}") > F.col("n"), F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long"))
+    return whole.select("doc_id", value.alias("simhash"))
 
 
 def bands(signature: Column) -> Column:

@@ -103,8 +103,9 @@ def bindings(matches: DataFrame) -> DataFrame:
 
 def link_summary(matches: DataFrame, inventory: DataFrame) -> DataFrame:
     """``matched, unmatched, errors`` over an inventory."""
-    sizes = matches.agg(F.count_distinct(F.when(F.col("error").isNull(), F.col("relative"))).alias("matched"), F.count("error").alias("errors"))
-    return sizes.crossJoin(inventory.agg(F.count(F.lit(1)).alias("files"))).select("matched", (F.col("files") - F.col("matched")).alias("unmatched"), "errors")  # one row each
+    rows = matches.select("relative", "error", F.lit(0).alias("files")).unionByName(inventory.select(F.lit(None).cast("string").alias("relative"), F.lit(None).cast("string").alias("error"), F.lit(1).alias("files")))
+    matched = F.count_distinct(F.when(F.col("error").isNull(), F.col("relative")))
+    return rows.agg(matched.alias("matched"), (F.coalesce(F.sum("files"), F.lit(0)) - matched).alias("unmatched"), F.count("error").alias("errors"))
 
 
 def bound(sources: DataFrame, links: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ def near_pairs(signatures: DataFrame, distance: int = 3) -> DataFrame:
 def candidate_report(pairs: DataFrame, digests: DataFrame, most: int = 100_000) -> DataFrame:
     """Pairs in order with whether their normalised texts are equal, at most ``most``; ``truncated`` tells whether more exist."""
     a, b = digests.select(F.col("doc_id").alias("left_id"), F.col("digest").alias("da")), digests.select(F.col("doc_id").alias("right_id"), F.col("digest").alias("db"))
-    total = pairs.agg((F.count(F.lit(1)) > most).alias("truncated"))
+    truncated = pairs.limit(most + 1).count() > most
     kept = pairs.orderBy("left_id", "right_id").limit(most)
-    rows = kept.join(a, "left_id").join(b, "right_id").crossJoin(F.broadcast(total))  # one row
-    return rows.select("left_id", "right_id", "hamming_distance", (F.col("da") == F.col("db")).alias("normalized_exact"), F.lit(ACTION).alias("action"), "truncated")
+    rows = kept.join(a, "left_id").join(b, "right_id")
+    return rows.select("left_id", "right_id", "hamming_distance", (F.col("da") == F.col("db")).alias("normalized_exact"), F.lit(ACTION).alias("action"), F.lit(truncated).alias("truncated"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from codexflow.functions import rights as R
 from codexflow.functions import signatures as S
 from codexflow.functions import text as T
+from codexflow.functions.partitions import spread
 from codexflow.operators import audits, bindings, harvest, near_duplicates, profiling, retrieval, segmentation, structure
 from codexflow.sources import readers, writers
 
@@ -64,13 +65,13 @@ def bin_of(column: str = "n_chars"):
 
 @query(f"SELECT doc_id, sha256({NORM}) AS normalized_sha256 FROM documents")
 def normalized_hash(spark, d):
-    return table(spark, d, "documents").select("doc_id", S.normalized_sha256(F.col("text")).alias("normalized_sha256"))
+    return spread(table(spark, d, "documents")).select("doc_id", S.normalized_sha256(F.col("text")).alias("normalized_sha256"))
 
 
 @query(f"""SELECT digest, count(*) AS copies, min(doc_id) AS first_id, max(doc_id) AS last_id
 FROM (SELECT doc_id, sha256({NORM}) AS digest FROM documents) GROUP BY digest HAVING count(*) > 1""")
 def exact_duplicates(spark, d):
-    rows = table(spark, d, "documents").select("doc_id", S.normalized_sha256(F.col("text")).alias("digest"))
+    rows = spread(table(spark, d, "documents")).select("doc_id", S.normalized_sha256(F.col("text")).alias("digest"))
     return rows.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).where("copies > 1")
 
 
@@ -89,7 +90,7 @@ THEN least(6, length(regexp_extract(line, '{T.NUMBERED}', 1)) - length(replace(r
 UNION ALL SELECT c.conv_id, h FROM conversations c, (VALUES ('1.2 Methods and data'), ('Abstract'), ('3. Results.'), ('Appendix B'), ('2.3.4.5 Deep')) v(h) WHERE turn = 0)
 SELECT CAST({HEAD_SQL} AS INTEGER) AS level, count(*) AS lines, count(DISTINCT doc_id) AS documents FROM lines GROUP BY 1""")
 def heading_levels(spark, d):
-    lines = table(spark, d, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
+    lines = spread(table(spark, d, "documents")).select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
     titles = F.array(*map(F.lit, ["1.2 Methods and data", "Abstract", "3. Results.", "Appendix B", "2.3.4.5 Deep"]))
     more = table(spark, d, "conversations").where("turn = 0").select(F.col("conv_id").alias("doc_id"), F.explode(titles).alias("line"))
     rows = lines.unionByName(more).select("doc_id", T.heading_level(F.col("line")).alias("level"))
@@ -101,7 +102,7 @@ w AS (SELECT *, length(line) + CASE WHEN i < n THEN 1 ELSE 0 END AS size FROM l)
 SELECT * FROM (SELECT CAST(doc_id AS VARCHAR) AS document_id, CAST(i - 1 AS INTEGER) AS line_no, CAST(sum(size) OVER p - size AS INTEGER) AS raw_start, CAST(sum(size) OVER p AS INTEGER) AS raw_end, i < n OR line <> '' AS keep
 FROM w WINDOW p AS (PARTITION BY doc_id ORDER BY i)) WHERE keep""")
 def line_blocks_offsets(spark, d):
-    pages = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("document_id"), F.lit(1).alias("page"), "text")
+    pages = spread(table(spark, d, "documents")).select(F.col("doc_id").cast("string").alias("document_id"), F.lit(1).alias("page"), "text")
     return segmentation.lines_of(pages).select("document_id", "line_no", "raw_start", "raw_end", F.lit(True).alias("keep"))
 
 
@@ -143,13 +144,13 @@ def rule_sql(text: str, rules: list[tuple[str, str]], otherwise: str) -> str:
 
 @query(f"SELECT doc_id, {rule_sql('text', R.LEVEL_WORDS, 'unspecified')} AS level FROM documents")
 def level_classes(spark, d):
-    return table(spark, d, "documents").select("doc_id", R.level(F.col("text")).alias("level"))
+    return spread(table(spark, d, "documents")).select("doc_id", R.level(F.col("text")).alias("level"))
 
 
 @query(f"""SELECT doc_id, {rule_sql('text', [('restricted_or_embargo', R.CLOSED_WORDS), ('open', R.OPEN_WORDS)], 'unknown')} AS access_guess,
 {rule_sql('text', R.LICENCE_WORDS, 'unknown')} AS licence_class FROM documents""")
 def rights_classes(spark, d):
-    return table(spark, d, "documents").select("doc_id", R.access(F.col("text")).alias("access_guess"), R.licence_class(F.col("text")).alias("licence_class"))
+    return spread(table(spark, d, "documents")).select("doc_id", R.access(F.col("text")).alias("access_guess"), R.licence_class(F.col("text")).alias("licence_class"))
 
 
 EVIDENCE_RULES = [*((f"cc-{p}", rf"creativecommons\.org/licenses/{p}/") for p in R.EVIDENCE_PATHS), ("cc0", r"creativecommons\.org/publicdomain/zero/"), ("all-rights-reserved", "all rights reserved|all-rights-reserved")]
@@ -188,13 +189,13 @@ def query_terms(spark, d):
 len(regexp_extract_all(html, '(?i)<meta ')) AS n_meta,
 len(list_filter(list_transform(string_split(regexp_replace(regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '<[^>]+>', chr(10), 'g'), chr(10)), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'))), lambda x: x <> '')) AS n_lines FROM pages""")
 def html_title_meta(spark, d):
-    rows = harvest.html_title_meta(table(spark, d, "pages"))
+    rows = harvest.html_title_meta(spread(table(spark, d, "pages")))
     return rows.select("page_id", "title", F.col("n_meta").cast("long").alias("n_meta"), F.col("n_lines").cast("long").alias("n_lines"))
 
 
 @query()
 def html_page_records(spark, d):
-    rows = harvest.page_records(table(spark, d, "pages"))
+    rows = harvest.page_records(spread(table(spark, d, "pages")))
     return rows.select("url", "title", F.size("fields").alias("n_fields"), F.length("abstract").alias("abstract_chars"), "access_guess", "licence_class")
 
 
@@ -218,7 +219,7 @@ def flat_values(spark, d):
 (SELECT doc_id, string_split(replace(text, '. ', chr(12)), chr(12)) AS p FROM documents)) WHERE NOT (page > 1 AND trim(t) = '')""")
 def form_feed_pages(spark, d):
     """Sentences as pages: a form feed stands for what ends them."""
-    docs = table(spark, d, "documents").withColumn("text", F.replace("text", F.lit(". "), F.lit("\f")))
+    docs = spread(table(spark, d, "documents")).withColumn("text", F.replace("text", F.lit(". "), F.lit("\f")))
     return readers.pages_of(docs, "doc_id", "text").select(F.col("document_id").cast("long").alias("doc_id"), F.col("page").cast("long").alias("page"), F.sha2("text", 256).alias("page_sha256"))
 
 
@@ -232,13 +233,13 @@ sig AS (SELECT doc_id, CAST({' + '.join(f'CASE WHEN sum(CASE WHEN (h >> {b}) & 1
 
 @query(f"WITH {MD5_SQL} SELECT doc_id, simhash FROM sig")
 def simhash_md5_signature(spark, d):
-    return S.simhash_md5(table(spark, d, "documents"))
+    return S.simhash_md5(spread(table(spark, d, "documents")))
 
 
 @query(f"""WITH {MD5_SQL} SELECT a.doc_id AS left_id, b.doc_id AS right_id, CAST(bit_count(xor(a.simhash, b.simhash)) AS INTEGER) AS hamming_distance
 FROM sig a JOIN sig b ON a.doc_id < b.doc_id WHERE bit_count(xor(a.simhash, b.simhash)) <= 3""")
 def simhash_near_pairs(spark, d):
-    return near_duplicates.near_pairs(S.simhash_md5(table(spark, d, "documents")))
+    return near_duplicates.near_pairs(S.simhash_md5(spread(table(spark, d, "documents"))))
 
 
 @query(f"""WITH {MD5_SQL}, p AS (SELECT a.doc_id AS left_id, b.doc_id AS right_id, CAST(bit_count(xor(a.simhash, b.simhash)) AS INTEGER) AS hamming_distance
@@ -246,14 +247,14 @@ FROM sig a JOIN sig b ON a.doc_id < b.doc_id WHERE bit_count(xor(a.simhash, b.si
 SELECT left_id, right_id, hamming_distance, x.digest = y.digest AS normalized_exact, 'review_candidate' AS action, (SELECT count(*) > 100000 FROM p) AS truncated
 FROM p JOIN n x ON x.doc_id = left_id JOIN n y ON y.doc_id = right_id ORDER BY left_id, right_id LIMIT 100000""")
 def dedup_report(spark, d):
-    docs = table(spark, d, "documents")
+    docs = spread(table(spark, d, "documents"))
     pairs = near_duplicates.near_pairs(S.simhash_md5(docs))
     return near_duplicates.candidate_report(pairs, docs.select("doc_id", S.normalized_sha256(F.col("text")).alias("digest")))
 
 
 @query()
 def simhash_blake2b_pairs(spark, d):
-    signatures = table(spark, d, "documents").select("doc_id", S.simhash_blake2b(F.col("text")).alias("simhash"))
+    signatures = spread(table(spark, d, "documents")).select("doc_id", S.simhash_blake2b(F.col("text")).alias("simhash"))
     return near_duplicates.near_pairs(signatures)
 
 
@@ -272,7 +273,7 @@ FROM q JOIN tf USING (term) JOIN df USING (term) JOIN len USING (doc_id), tot GR
 
 def document_chunks(spark: SparkSession, d: str) -> DataFrame:
     """Each document as one chunk; all are untitled, and the stand-in title lengthens each alike."""
-    docs = table(spark, d, "documents")
+    docs = spread(table(spark, d, "documents"))
     return docs.select(F.col("doc_id").alias("chunk_id"), F.col("source").alias("document_id"), F.lit(None).cast("string").alias("title"), F.col("text").alias("body"), (F.col("doc_id") % 50 + 1).cast("int").alias("page_start"), (F.col("doc_id") % 50 + 1).cast("int").alias("page_end"))
 
 
