@@ -58,11 +58,11 @@ def _combine_locally(batches):
                 seen[2] = doc_id
             ids.append(doc_id)
         if size >= FLUSH_BYTES or len(ids) >= 200_000:
-            yield flushed()
+            yield from shared.pieces(flushed(), 2000)
             serial += len(ids)
             ids, digests, local, held, first, size = [], [], [], {}, {}, 0
     if ids:
-        yield flushed()
+        yield from shared.pieces(flushed(), 2000)
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int | None = None) -> DataFrame:

@@ -11,11 +11,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from codexflow.functions.partitions import spread
 from codexflow.llm import exact_dedup, fm_decontam, ppm_language, quality_ranking, sentencepiece_bpe, shared, shingle_join, suffix_tree_lm, token_counts, token_planes, toxicity_ordinal
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows) if name == "documents" else rows
 
 
 def op1_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -278,7 +278,7 @@ def encode_and_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id",
 
         library, encoder = sentencepiece.SentencePieceProcessor(model_file=model_path), Encoder(model_path)
         decimals = Decimals(encoder.agenda.size)
-        for batch in shared.joined(batches, limit=8 << 20):
+        for batch in shared.chunks(batches, limit=8 << 20):
             texts = pc.fill_null(batch.column("text"), "")
             ids, bounds = encoder(texts)
             columns = [[], []]

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_MOST = 2_000_000  # ids, hence 16 MB
-BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 1 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -60,7 +60,7 @@ def text_of(name: str = "text") -> Column:
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Lowers the session's limit of bytes in an Arrow batch: each task holds several such batches in the JVM and in Python."""
+    """Lowers the session's limit of bytes in an Arrow batch: the JVM's pools keep what the largest batches took."""
     size, unit = re.fullmatch(r"(-?\d+)([kmg]?)b?", spark.conf.get(BATCH_CONF).lower()).groups()
     if not 0 < int(size) << {"": 0, "k": 10, "m": 20, "g": 30}[unit] <= BATCH_BYTES:
         spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
@@ -89,7 +89,8 @@ def ascii_lower(column: Column) -> Column:
 
 
 def chunks(batches, column: str = "text", limit: int = 4 << 20):
-    """Cuts Arrow batches so that each piece holds about ``limit`` bytes of ``column``; one longer text stays whole."""
+    """Joins small Arrow batches, and cuts large ones, to about ``limit`` bytes of ``column``; one longer text stays whole."""
+    held, size = [], 0
     for batch in batches:
         n = batch.num_rows
         if not n:
@@ -99,12 +100,28 @@ def chunks(batches, column: str = "text", limit: int = 4 << 20):
         at = 0
         while at < n:
             base = ends[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(ends, base + limit, side="right")))
-            yield batch.slice(at, to - at)
+            to = max(at + 1, int(np.searchsorted(ends, base + limit - size, side="right")))
+            held.append(batch.slice(at, to - at))
+            size += int(ends[to - 1] - base)
             at = to
+            if at < n or size >= limit:
+                yield _one(held)
+                held, size = [], 0
+    if held:
+        yield _one(held)
     trim()
 
 
+def _one(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return batches[0] if len(batches) == 1 else pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+
+
+def pieces(batch: pa.RecordBatch, rows: int = 50_000):
+    """A large result in slices, so that the JVM never holds it as one buffer."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def trim() -> None:
     """Gives freed memory back to the system: Spark keeps Python workers for later tasks, and with them their peak."""
     pa.default_memory_pool().release_unused()
@@ -112,19 +129,6 @@ def trim() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def joined(batches, column: str = "text", limit: int = 16 << 20):
-    """Joins small batches, and cuts large ones, to about ``limit`` bytes of ``column``."""
-    held, size = [], 0
-    for batch in chunks(batches, column, limit):
-        held.append(batch)
-        size += pc.sum(pc.binary_length(batch.column(column))).as_py() or 0
-        if size >= limit // 2:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held, size = [], 0
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts end to end, and where each begins (with the end of the last). Nulls have no bytes."""
     texts = pc.fill_null(texts, "")

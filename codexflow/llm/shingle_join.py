@@ -102,10 +102,10 @@ def _members_and_frequent(batches):
                 held.append(s)
                 size += len(s)
         if size > 2_000_000:
-            yield frequent()
+            yield from shared.pieces(frequent())
             held, size, seen = [], 0, set()
     if size:
-        yield frequent()
+        yield from shared.pieces(frequent())
 
 
 class Order:
@@ -167,7 +167,7 @@ def _prefixes(order):
                     column.append(x if isinstance(x, np.ndarray) else np.full(length, x))
             if columns[0]:
                 kinds = (np.int64, np.int64, np.int32, np.int32, np.int32, np.float64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(t)) for c, t in zip(columns, kinds, strict=True)], names=["key", "doc", "n", "pos", "least", "common"])
+                yield from shared.pieces(pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(t)) for c, t in zip(columns, kinds, strict=True)], names=["key", "doc", "n", "pos", "least", "common"]))
 
     return run
 

@@ -90,10 +90,10 @@ def _count_grams(batches):
             merged = _summed(keys, counts)
             keys, counts, held = [merged[0]], [merged[1]], len(merged[0])
             if held > 2_000_000:
-                yield batch()
+                yield from shared.pieces(batch())
                 keys, counts, held = [], [], 0
     if keys:
-        yield batch()
+        yield from shared.pieces(batch())
 
 
 class SuffixTree:
@@ -211,7 +211,7 @@ def _chunked(shipped):
     def run(batches):
         tree, task, serial = shipped.value, TaskContext.get().partitionId() << 24, 0
         pack = zstandard.ZstdCompressor(level=3).compress
-        for batch in shared.joined(batches, limit=CHUNK):
+        for batch in shared.chunks(batches, limit=CHUNK):
             texts = pc.fill_null(batch.column("text"), "")
             parts = [part.column("text") for part in shared.chunks([pa.RecordBatch.from_arrays([texts], names=["text"])], limit=1 << 20)]
             score = np.concatenate([tree.score(x) if tree else -math.log10(257) * (pc.binary_length(x).to_numpy(zero_copy_only=False) + 1.0) for x in parts])
@@ -227,9 +227,10 @@ def _chunked(shipped):
             counts = np.bincount(codes[trains], minlength=len(coded.dictionary))
             chunk, n = task + serial, len(coded.dictionary)
             serial += 1
-            yield pa.RecordBatch.from_arrays(
+            tokens = pa.RecordBatch.from_arrays(
                 [pa.array(np.full(n, chunk)), pa.array(np.arange(n, dtype=np.int32)), coded.dictionary.cast(pa.string()), pa.array(counts.astype(np.int64)), pa.nulls(n, pa.binary())], names=["chunk", "code", "token", "n", "body"]
             )
+            yield from shared.pieces(tokens)
             ids = batch.column("doc_id")
             raw = b"".join([
                 np.array([len(ids), len(codes)], np.int64).tobytes(), ids.is_null().to_numpy(zero_copy_only=False).tobytes(), pc.fill_null(ids, 0).to_numpy(zero_copy_only=False).astype(np.int64).tobytes(),

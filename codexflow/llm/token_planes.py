@@ -243,7 +243,7 @@ def write(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 2, id_c
             body = packed(doc_ids, sizes, np.concatenate(parts), kind)
             return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([serial], pa.int32()), pa.array([body], pa.binary())], names=["shard", "container", "body"])
 
-        for batch in shared.joined(batches, limit=12 << 20):
+        for batch in shared.chunks(batches, limit=12 << 20):
             ids, counts = encoder(batch.column("text"))
             ends = np.cumsum(counts)
             parts.append(np.insert(ids, ends, end_id))
