@@ -15,6 +15,7 @@ K1, B, IDF_FLOOR = 1.2, 0.75, 1e-6
 # How much a match counts in the body and in the helper terms. The title only lengthens a chunk.
 WEIGHTS = {"body": 1.0, "terms": 0.2}
 UNTITLED = "Untitled document"
+BROADCAST_TERMS = 500_000
 
 
 def tokens(column: Column, parity: bool = False) -> Column:
@@ -28,13 +29,24 @@ def indexable(page: Column, flags: Column, text: Column) -> Column:
     return F.coalesce(page > 0, F.lit(False)) & ~F.coalesce(F.array_contains(flags, "low_text_page"), F.lit(False)) & (F.trim(F.coalesce(text, F.lit(""))) != "")
 
 
-def postings(chunks: DataFrame, parity: bool = False) -> DataFrame:
-    """``chunk_id, term, tf`` of body and helper terms (columns chunk_id, title, body), weighted."""
+def _weighted(terms: Column, weight: float) -> Column:
+    return F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(weight).alias("w")))
+
+
+def postings(chunks: DataFrame, parity: bool = False, wanted: DataFrame | list[str] | None = None) -> DataFrame:
+    """``chunk_id, term, tf`` of body and helper terms (columns chunk_id, title, body), weighted; only of ``wanted`` terms if given.
+
+    Unwanted terms go before anything is grouped. A frame of wanted terms is broadcast if it is small, and joined otherwise.
+    """
     helper = F.when(F.col("body").rlike(f"[{CJK}]"), query_terms(F.col("body"), None)).otherwise(F.array().cast("array<string>"))
-    parts = []
-    for name, found in (("body", tokens(F.col("body"), parity)), ("terms", F.flatten(F.transform(helper, lambda t: tokens(t, parity))))):
-        parts.append(chunks.select("chunk_id", F.explode(found).alias("term"), F.lit(WEIGHTS[name]).alias("w")))
-    return parts[0].unionByName(parts[1]).groupBy("chunk_id", "term").agg(F.sum("w").alias("tf"))
+    columns = {"body": tokens(F.col("body"), parity), "terms": F.flatten(F.transform(helper, lambda t: tokens(t, parity)))}
+    weighted = [_weighted(found, WEIGHTS[name]) for name, found in columns.items()]
+    rows = chunks.select("chunk_id", F.explode(F.concat(*weighted)).alias("p")).select("chunk_id", "p.term", "p.w")
+    if isinstance(wanted, DataFrame):
+        rows = rows.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_TERMS else wanted, "term", "left_semi")
+    elif wanted is not None:
+        rows = rows.where(F.col("term").isin(wanted)) if wanted else rows.where(F.lit(False))
+    return rows.groupBy("chunk_id", "term").agg(F.sum("w").alias("tf"))
 
 
 def lengths(chunks: DataFrame, parity: bool = False) -> DataFrame:
@@ -47,7 +59,7 @@ def lengths(chunks: DataFrame, parity: bool = False) -> DataFrame:
 def scores(chunks: DataFrame, terms: list[str] | DataFrame, parity: bool = False) -> DataFrame:
     """``chunk_id, score`` (with ``query_id`` for a frame of query_id, term) of all chunks that hold a term in body or helper terms.
 
-    The query's terms go to the scan of the postings as a filter, so that only their postings are shuffled.
+    Only postings of the queries' terms are shuffled.
     """
     spark = chunks.sparkSession
     many = isinstance(terms, DataFrame)
@@ -55,7 +67,7 @@ def scores(chunks: DataFrame, terms: list[str] | DataFrame, parity: bool = False
     stats = lengths(chunks, parity)
     total = stats.agg(F.count(F.lit(1)).alias("N"), F.avg("length").alias("mean")).first()
     size, mean = total["N"], total["mean"] or 1.0
-    found = postings(chunks, parity).join(wanted.select("term").distinct(), "term", "left_semi")
+    found = postings(chunks, parity, wanted.select("term").distinct() if many else terms)
     df = found.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log((F.lit(size) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     idf = F.when(idf <= 0, F.lit(IDF_FLOOR)).otherwise(idf)
