@@ -178,7 +178,7 @@ def identify(docs: DataFrame, model: ContextTrees | None, id_col: str = "doc_id"
 
     def run(batches):
         trees = shipped.value
-        for batch in shared.chunks(batches, limit=4 << 20):
+        for batch in shared.chunks(batches, limit=1 << 20):
             texts = batch.column("text")
             n = len(texts)
             size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)

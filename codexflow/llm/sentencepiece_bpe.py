@@ -23,6 +23,7 @@ from codexflow.llm.ppm_language import Table
 MARK = "▁"
 NONE = np.iinfo(np.int64).max
 LOCKSTEP = 64
+CELLS = 120_000  # symbols of the words merged at once, padding included
 
 
 class Agenda:
@@ -151,8 +152,9 @@ class Agenda:
         order, flats, sizes = [], [], []
         for low, high in ((0, 2), (2, 4), (4, 6), (6, 8), (8, 10), (10, 12), (12, 16), (16, 24), (24, 40), (40, LOCKSTEP)):
             chosen = np.flatnonzero((lengths > low) & (lengths <= high))
-            for at in range(0, len(chosen), 20_000):
-                some = chosen[at : at + 20_000]
+            step = CELLS // high
+            for at in range(0, len(chosen), step):
+                some = chosen[at : at + step]
                 size, width = lengths[some], int(lengths[some].max())
                 inside = np.arange(width)[None, :] < size[:, None]
                 rows = np.where(inside, symbols[np.minimum(first[some][:, None] + np.arange(width)[None, :], len(symbols) - 1)], -1)
@@ -278,7 +280,7 @@ def encode_and_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id",
 
         library, encoder = sentencepiece.SentencePieceProcessor(model_file=model_path), Encoder(model_path)
         decimals = Decimals(encoder.agenda.size)
-        for batch in shared.chunks(batches, limit=8 << 20):
+        for batch in shared.chunks(batches, limit=2 << 20):
             texts = pc.fill_null(batch.column("text"), "")
             ids, bounds = encoder(texts)
             columns = [[], []]
