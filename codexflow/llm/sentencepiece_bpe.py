@@ -9,6 +9,7 @@ can be checked against the library.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import heapq
 
@@ -58,15 +59,20 @@ class Agenda:
             for cut in range(1, len(p)):
                 if (a := self.ids.get(p[:cut])) is not None and (b := self.ids.get(p[cut:])) is not None:
                     pairs[a * self.size + b] = (rank[p], i)
-        self.table = Table(np.array(list(pairs), np.int64))
+        self.keys = np.array(list(pairs), np.int64)
+        self.table = Table(self.keys)
         self.rank = np.array([rank for rank, _ in pairs.values()], np.int64)
         self.merged = np.array([i for _, i in pairs.values()], np.int64)
-        self.pairs = pairs
         points = [(ord(p), i) for p, i in self.ids.items() if len(p) == 1]
         self.char = np.full(max(c for c, _ in points) + 1, -1, np.int64)
         for c, i in points:
             self.char[c] = i
 
+    @functools.cached_property
+    def pairs(self) -> dict[int, tuple[int, int]]:
+        """Rank and merged id by key, for long words only."""
+        return dict(zip(self.keys.tolist(), zip(self.rank.tolist(), self.merged.tolist(), strict=True), strict=True))
+
     def look_up(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and merged id of each pair; NONE where there is no such merge."""
         at = self.table.find(np.where((a < 0) | (b < 0), -1, a * self.size + b).ravel()).reshape(a.shape)
