@@ -229,6 +229,8 @@ def _searched(phrases, last: bool):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(np.diff(bounds), pa.int64()), pa.array(n_hit, pa.int64()), spans_array, items_array], names=["doc_id", "n_words", "n_hit", "spans", "items"]
             )
+        del block
+        shared.let_go(phrases)
 
     return run
 

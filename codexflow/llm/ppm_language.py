@@ -193,6 +193,8 @@ def identify(docs: DataFrame, model: ContextTrees | None, id_col: str = "doc_id"
                 score = np.where(letters, 1 / np.exp(-worse).sum(1), 0)
                 best = [trees.languages[k] if ok else "und" for k, ok in zip(at.tolist(), letters.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(best, pa.string()), pa.array(score, pa.float64()), pa.array(bits, pa.float64())], names=["doc_id", "lang_pred", "score", "bits_per_byte"])
+        del trees
+        shared.let_go(shipped)
 
     return shared.id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, lang_pred string, score double, bits_per_byte double")
 

@@ -54,15 +54,15 @@ class Agenda:
         self.size = len(pieces)
         order = {s: k for k, s in enumerate(sorted({pieces[i].score for i in self.ids.values()}, reverse=True))}
         rank = {p: order[pieces[i].score] for p, i in self.ids.items()}
-        pairs = {}
+        keys, ranks, merged = [], [], []
         for p, i in self.ids.items():
             for cut in range(1, len(p)):
                 if (a := self.ids.get(p[:cut])) is not None and (b := self.ids.get(p[cut:])) is not None:
-                    pairs[a * self.size + b] = (rank[p], i)
-        self.keys = np.array(list(pairs), np.int64)
+                    keys.append(a * self.size + b)
+                    ranks.append(rank[p])
+                    merged.append(i)
+        self.keys, self.rank, self.merged = (np.array(x, np.int64) for x in (keys, ranks, merged))
         self.table = Table(self.keys)
-        self.rank = np.array([rank for rank, _ in pairs.values()], np.int64)
-        self.merged = np.array([i for _, i in pairs.values()], np.int64)
         points = [(ord(p), i) for p, i in self.ids.items() if len(p) == 1]
         self.char = np.full(max(c for c, _ in points) + 1, -1, np.int64)
         for c, i in points:
@@ -286,7 +286,8 @@ def encode_and_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id",
 
         library, encoder = sentencepiece.SentencePieceProcessor(model_file=model_path), Encoder(model_path)
         decimals = Decimals(encoder.agenda.size)
-        for batch in shared.chunks(batches, limit=2 << 20):
+        shared.trim()
+        for batch in shared.chunks(batches, limit=1 << 20):
             texts = pc.fill_null(batch.column("text"), "")
             ids, bounds = encoder(texts)
             columns = [[], []]

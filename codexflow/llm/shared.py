@@ -112,6 +112,12 @@ def chunks(batches, column: str = "text", limit: int = 4 << 20):
     trim()
 
 
+def let_go(broadcast) -> None:
+    """At the end of a task: its Python worker lives on, and would keep the broadcast's value; the next task loads it again."""
+    broadcast.__dict__.pop("_value", None)
+    trim()
+
+
 def _one(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
     return batches[0] if len(batches) == 1 else pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
 

@@ -168,6 +168,7 @@ def _prefixes(order):
             if columns[0]:
                 kinds = (np.int64, np.int64, np.int32, np.int32, np.int32, np.float64)
                 yield from shared.pieces(pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(t)) for c, t in zip(columns, kinds, strict=True)], names=["key", "doc", "n", "pos", "least", "common"]))
+        shared.let_go(order)
 
     return run
 

@@ -237,6 +237,8 @@ def _chunked(shipped):
                 held.tobytes(), score.astype(np.float64).tobytes(), bounds.astype(np.int64).tobytes(), codes.tobytes(),
             ])
             yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.nulls(1, pa.int32()), pa.nulls(1, pa.string()), pa.array([int((~held).sum())], pa.int64()), pa.array([pack(raw)], pa.binary())], names=["chunk", "code", "token", "n", "body"])
+        del tree
+        shared.let_go(shipped)
 
     return run
 
