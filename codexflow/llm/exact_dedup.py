@@ -75,12 +75,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``keep_id`` is null and all are kept. An empty table gives an empty result. Other columns of ``docs`` are not read.
 
     ``salts``: parts into which a group is cut before the global stage; by default the square root of the number of
-    input partitions, so that a text found in all of them meets no more than that many others in either shuffle.
+    shuffle partitions, 8 at least: a text that all tasks hold meets a row for each task and salt first, then one for each salt.
     """
     spark = docs.sparkSession
     docs = shared.id_and_text(docs, id_col, text_col)
     if salts is None:
-        salts = max(8, math.isqrt(docs.rdd.getNumPartitions()))
+        salts = max(8, math.isqrt(int(spark.conf.get("spark.sql.shuffle.partitions"))))
     rows = shared.stored(docs.mapInArrow(_combine_locally, LOCAL), f"{shared.shared_dir(spark)}/local", compression="uncompressed")
     winners = rows.where(F.col("content").isNotNull()).withColumn("salt", F.pmod(F.shiftright("local", 40), F.lit(salts)).cast("int"))
 
