@@ -42,6 +42,11 @@ def stored(df: DataFrame, where: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(where)
 
 
+def small(table: DataFrame, columns: int = 1) -> DataFrame:
+    """A stored table of numbers, to be broadcast if its count allows it (BROADCAST_MOST numbers in all), else as it is."""
+    return F.broadcast(table) if table.count() * columns <= BROADCAST_MOST else table
+
+
 def without(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose id is not in ``gone`` (column gone_id, nulls included).
 
@@ -49,9 +54,7 @@ def without(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
     joined by a shuffle.
     """
     gone = stored(gone.select(F.col("gone_id").cast("long").alias("gone_id")).distinct(), f"{shared_dir(docs.sparkSession)}/gone")
-    if gone.count() <= BROADCAST_MOST:
-        gone = F.broadcast(gone)
-    return docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("gone_id")), "left_anti")
+    return docs.join(small(gone), F.col(id_col).cast("long").eqNullSafe(F.col("gone_id")), "left_anti")
 
 
 def text_of(name: str = "text") -> Column:

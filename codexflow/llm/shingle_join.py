@@ -301,12 +301,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return rep.join(joined, F.col("rep") == F.col("node"), "left").select("doc", F.coalesce("component", "rep").alias("label"))
 
     labels = shared.stored(labelled(links, "round1"), f"{where}/labels1")
-    # shared shingles before a place lie in both prefixes, so that both documents have them among their met ones
-    before = F.row_number().over(Window.partitionBy("doc").orderBy("pos")) - 1
-    rows = met.select("key", "doc", "n", "pos", "least", "lead").join(labels, "doc").withColumn("before", before)
-    # of each shingle's documents, those in the leader's component need only be compared with the others
+    # of each shingle's documents, those in the leader's component need only be compared with the others; a shingle whose
+    # documents are all in one component is done with
+    moved = shared.stored(labels.where("doc <> label"), f"{where}/moved")
+    rows = met.select("key", "doc", "n", "pos", "least", "lead").join(shared.small(moved, 2), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
     keys = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max(F.when(F.col("doc") == F.col("lead"), F.col("label"))).alias("major"))
-    rows = rows.drop("lead").join(keys.where("low <> high").select("key", "major"), "key").join(bits.drop("n"), "doc")
+    keys = shared.stored(keys.where("low <> high").select("key", "major"), f"{where}/keys")
+    # shingles that two documents of different components share before a place lie in both prefixes and are among these rows
+    before = F.row_number().over(Window.partitionBy("doc").orderBy("pos")) - 1
+    rows = rows.drop("lead").join(shared.small(keys, 2), "key").withColumn("before", before).join(bits.drop("n"), "doc")
     left, right = (rows.withColumnsRenamed({c: f"{c}_{side}" for c in rows.columns if c != "key"}) for side in "ab")
     once = (F.col("label_b") == F.col("major_b")) | (F.col("doc_a") < F.col("doc_b"))
     apart = left.where("label_a <> major_a").join(right, "key").where(
