@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from codexflow.llm import shared
 
 ORDER = 4
-PIECE = 1 << 20
+PIECE = 1 << 17
 
 
 class Table:

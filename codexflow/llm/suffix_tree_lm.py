@@ -31,7 +31,7 @@ from codexflow.llm.ppm_language import Table
 DEPTH = 5
 END = 256
 CHUNK = 10 << 20
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 
 def symbols_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
