@@ -153,6 +153,31 @@ def test_longer_contexts_help_and_pruning_keeps_suffixes():
         assert (whole.contexts[depth - 1][0].find(longer & ((1 << (8 * (depth - 1))) - 1)) >= 0).all()
 
 
+def test_contexts_of_few_occurrences_count_in_a_large_corpus(spark):
+    rng = random.Random(8)
+    page = " ".join(rng.choice(cases.WORDS) for _ in range(180_000))
+    trained = [k for k in range(1, 60) if zlib.crc32(str(k).encode()) % 10]
+    rows = [(k, page) for k in trained[:16]] + [(k, "zqxjkvb") for k in trained[16:21]]
+    got = {r.doc_id: r.score for r in suffix_tree_lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()}
+    assert len(page) * 16 * 5e-7 > 5 and got[trained[16]] > -8
+
+
+def test_buckets_give_the_scores_of_one_tree(spark, monkeypatch):
+    monkeypatch.setattr(suffix_tree_lm, "BUCKET_GRAMS", 20)
+    monkeypatch.setattr(suffix_tree_lm, "SALT_CHUNKS", 1)
+    rng = random.Random(5)
+    rows = [(k, " ".join(rng.choice(cases.WORDS) for _ in range(40))) for k in range(80)] + [(None, "the river zzz stone")]
+    grams, total = collections.Counter(), 0
+    for i, t in rows:
+        if i is not None and zlib.crc32(str(i).encode()) % 10:
+            symbols, _, scored = suffix_tree_lm.symbols_of(pa.array([t]))
+            grams.update(suffix_tree_lm.keys_of(symbols)[scored].tolist())
+    key, n = np.array(list(grams)), np.array(list(grams.values()))
+    tree = suffix_tree_lm.SuffixTree([suffix_tree_lm.level_of(key, n, d) for d in range(suffix_tree_lm.DEPTH + 1)], int(n.sum()))
+    got = {r.doc_id: r.score for r in suffix_tree_lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert np.allclose([got[i] for i, _ in rows], tree.score(pa.array([t for _, t in rows])), atol=1e-3)
+
+
 def test_held_out_scores_beat_the_base(spark):
     got = suffix_tree_lm.score_texts(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).where("held_out").collect()
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
