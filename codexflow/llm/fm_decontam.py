@@ -268,8 +268,10 @@ def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
 
 def remove_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", window: int = WINDOW) -> DataFrame:
     """The rows of ``docs``, with all their columns, in which no benchmark window occurs."""
-    hit = find_contamination(docs, benchmark, id_col, text_col, item_col, window).where("n_hit > 0")
-    return shared.without(docs, id_col, hit.select(F.col("doc_id").alias("gone_id")))
+    key = shared.row_key(id_col, shared.text_of(text_col))
+    keyed = docs.select(key.alias("row"), F.col(text_col).alias("text"))
+    hit = find_contamination(keyed, benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text")), "row", "text", "item", window).where("n_hit > 0")
+    return shared.without(docs, key, hit.select(F.col("doc_id").alias("gone_id")))
 
 
 def digest(items: list[str]) -> str:

@@ -206,14 +206,22 @@ def identify_with_training(docs: DataFrame, lang_col: str = "lang", per_language
     out. The model is fitted on a bounded sample of the others: about ``per_language`` whole texts of each language, of at most
     ``longest`` bytes each. Prediction covers every row and whole texts, and reads nothing but the text.
     """
-    held = F.coalesce(shared.crc_mod("doc_id", 4) == 2, F.lit(True))
-    labelled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where(~held)
+    return identify(docs, learned(docs, lang_col, per_language, longest)).select("doc_id", _held().alias("held_out"), "lang_pred", "score")
+
+
+def _held():
+    return F.coalesce(shared.crc_mod("doc_id", 4) == 2, F.lit(True))
+
+
+def learned(docs: DataFrame, lang_col: str = "lang", per_language: int = 1500, longest: int = 1 << 16) -> ContextTrees | None:
+    """The model of a bounded sample of the rows that are not held out; None if no language can be learned."""
+    labelled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where(~_held())
     samples = sample_by_language(labelled, "lang", per_language, longest)
-    model = ContextTrees(samples) if samples else None
-    return identify(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+    return ContextTrees(samples) if samples else None
 
 
 def keep_identified(docs: DataFrame, lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs``, with all their columns, except those that language identification rejects as ``und``."""
-    rejected = identify_with_training(docs, lang_col).where("lang_pred = 'und'")
-    return shared.without(docs, "doc_id", rejected.select(F.col("doc_id").alias("gone_id")))
+    key = shared.row_key("doc_id", shared.text_of())
+    rejected = identify(docs.select(key.alias("row"), "text"), learned(docs, lang_col), "row").where("lang_pred = 'und'")
+    return shared.without(docs, key, rejected.select(F.col("doc_id").alias("gone_id")))

@@ -47,14 +47,19 @@ def small(table: DataFrame, columns: int = 1) -> DataFrame:
     return F.broadcast(table) if table.count() * columns <= BROADCAST_MOST else table
 
 
-def without(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose id is not in ``gone`` (column gone_id, nulls included).
+def row_key(id_col: str, content: Column) -> Column:
+    """A 64-bit key of a row's id and content: rows that share an id, or have none, differ by it if their contents do."""
+    return F.xxhash64(F.col(id_col).isNull(), F.coalesce(F.col(id_col).cast("long"), F.lit(0)), content)
 
-    The ids that go are stored and counted: up to BROADCAST_MOST of them are broadcast, so that no text is shuffled; more are
+
+def without(docs: DataFrame, key: Column, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose ``key`` is not in ``gone`` (column gone_id, nulls included).
+
+    The keys that go are stored and counted: up to BROADCAST_MOST of them are broadcast, so that no text is shuffled; more are
     joined by a shuffle.
     """
     gone = stored(gone.select(F.col("gone_id").cast("long").alias("gone_id")).distinct(), f"{shared_dir(docs.sparkSession)}/gone")
-    return docs.join(small(gone), F.col(id_col).cast("long").eqNullSafe(F.col("gone_id")), "left_anti")
+    return docs.join(small(gone), key.eqNullSafe(F.col("gone_id")), "left_anti")
 
 
 def text_of(name: str = "text") -> Column:

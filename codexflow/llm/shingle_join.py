@@ -331,4 +331,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_smallest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, whose id names its component: one document of each group."""
     gone = near_duplicates(docs, id_col, text_col).where("component_id <> doc_id")
-    return shared.without(docs, id_col, gone.select(F.col("doc_id").alias("gone_id")))
+    return shared.without(docs, F.col(id_col).cast("long"), gone.select(F.col("doc_id").alias("gone_id")))

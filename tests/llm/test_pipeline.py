@@ -5,6 +5,7 @@ import public_tokenizers
 import sentencepiece
 
 import corpus_pipeline
+from codexflow.llm import exact_dedup, fm_decontam, ppm_language
 from codexflow.llm import queries as llm_queries
 from tests.llm.test_dedup import brute_components
 from tests.llm.test_decontamination import brute
@@ -38,6 +39,22 @@ def test_stages_keep_the_columns(spark):
         assert stage(spark, docs, SF).columns == docs.columns
 
 
+def test_rows_are_judged_each_not_by_id(spark):
+    rows = [(None, "no id here"), (None, None), (None, "one two three four five six seven eight nine ten"), (7, "Some text"), (7, "..."), (8, "some TEXT"), (7, "other words")]
+    docs = spark.createDataFrame([(*r, "en") for r in rows], "doc_id long, text string, lang string")
+    items = spark.createDataFrame([("i", "One two three four five six seven eight nine ten")], "item_id string, text string")
+
+    def left(kept):
+        return sorted((r.doc_id or -1, r.text or "") for r in kept.collect())
+
+    def want(*gone):
+        return sorted((i or -1, t or "") for k, (i, t) in enumerate(rows) if k not in gone)
+
+    assert left(ppm_language.keep_identified(docs)) == want(1, 4)
+    assert left(exact_dedup.keep_winners(docs)) == want(3)
+    assert left(fm_decontam.remove_contamination(docs, items)) == want(2)
+
+
 def test_every_operator_has_a_query():
     names = llm_queries.queries()
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and set(llm_queries.oracle_sql()) <= set(names)
