@@ -24,6 +24,7 @@ def connected(links: DataFrame, where: str) -> DataFrame:
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
         k += 1
         edges = shared.stored(small.select("e.u", "e.v").where("u <> v").distinct(), f"{where}/edges{k}")
+        shared.removed(edges.sparkSession, f"{where}/edges{k - 1}")
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

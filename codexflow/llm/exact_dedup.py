@@ -97,5 +97,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_winners(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, that win a group of equal texts; rows that share an id are judged each by its text."""
-    gone = exact_dedup(docs, id_col, text_col).where("NOT kept").select(shared.row_key("doc_id", F.col("text_sha256")).alias("gone_id"))
-    return shared.without(docs, shared.row_key(id_col, F.sha2(shared.ascii_lower(shared.text_of(text_col)).cast("binary"), 256)), gone)
+    gone = exact_dedup(docs, id_col, text_col).where("NOT kept").select("doc_id", F.xxhash64("text_sha256"))
+    digest = F.sha2(shared.ascii_lower(shared.text_of(text_col)).cast("binary"), 256)
+    return shared.without(docs, [F.col(id_col).cast("long"), F.xxhash64(digest)], gone)

@@ -1,13 +1,12 @@
 """Benchmark decontamination with an FM-index for each training shard.
 
-A shard is one task's batch of whole documents. Its words become symbols of the benchmark's vocabulary; a word that no
-benchmark item holds can't be part of a match, so it ends a run, and runs shorter than the shortest window are left out
-of the index. The shard's suffixes are sorted by prefix doubling, their last-to-first column goes into a wavelet
-matrix, all windows are searched backwards at once, and matches are located by walking to sampled suffix positions.
-Matched words are merged into removal spans.
-
-The benchmark is broadcast in blocks of bounded size. Each block is one more map over the same partitions, so documents
-are never shuffled, whatever the size of either side.
+A shard is a stretch of whole documents of one task. All its words are symbols, numbered in the shard's own vocabulary, with
+a separator before each document and at the end. The shard's suffixes are sorted by prefix doubling, their
+last-to-first column goes into a wavelet matrix, the benchmark's windows are searched backwards, many at once, and matches
+are located by walking to sampled suffix positions. Matched words are merged into removal spans.
+
+The benchmark is broadcast in blocks of bounded size. A task indexes a shard once and searches the blocks one after the
+other, holding one at a time; documents are mapped once and never shuffled, whatever the size of either side.
 """
 
 from __future__ import annotations
@@ -42,24 +41,36 @@ def word_array(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.nd
 
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
-    """Sorts all suffixes by prefix doubling. Zeros separate runs: each counts as a symbol of its own, by position."""
+    """Sorts all suffixes by prefix doubling. Zeros separate runs: each counts as a symbol of its own, by position.
+
+    A rank is the place of the first suffix of its group; after each round only groups of several suffixes are sorted on.
+    """
     n = len(symbols)
     zero = symbols == 0
-    rank = np.where(zero, np.cumsum(zero) - 1, symbols + zero.sum()).astype(np.int64)
-    reach = 1
+    own = np.where(zero, np.cumsum(zero) - 1, symbols + int(zero.sum())).astype(np.int64)
+    wide = max(1, int(own.max(initial=0) + 1).bit_length())
+    reach = max(1, 62 // wide)  # so many symbols fit one key; past the end stand zeros, below any symbol plus one
+    key = np.zeros(n, np.int64)
+    for k in range(reach):
+        key <<= wide
+        key[: max(0, n - k)] |= own[k:] + 1
+    order = np.argsort(key, kind="stable")
+    rank, slots = np.zeros(n, np.int64), np.arange(n)
+    same = np.concatenate([[False], key[order][1:] == key[order][:-1]]) if n else np.zeros(0, bool)
     while True:
-        key = rank * (n + 1 + int(rank.max(initial=0)))
-        key[: n - reach] += rank[reach:] + 1
-        order = np.argsort(key)
-        sorted_key = key[order]
-        new = np.zeros(n, np.int64)
-        new[1:] = np.cumsum(sorted_key[1:] != sorted_key[:-1])
-        rank[order] = new
-        if new[-1] == n - 1:
+        heads = slots[np.maximum.accumulate(np.where(same, 0, np.arange(len(slots))))]
+        rank[order[slots]] = heads
+        open_ = same | np.append(same[1:], False)
+        slots = slots[open_]
+        if not len(slots):
             return order
+        at = order[slots]
+        behind = np.where(at + reach < n, rank[np.minimum(at + reach, n - 1)] + 1, 0)
+        again = np.lexsort((behind, rank[at]))
+        before, behind = rank[at][again], behind[again]
+        order[slots] = at[again]
+        same = np.concatenate([[False], (before[1:] == before[:-1]) & (behind[1:] == behind[:-1])])
         reach *= 2
-        if reach >= n:
-            return order
 
 
 class FMIndex:
@@ -129,7 +140,7 @@ class FMIndex:
 class Phrases:
     """The windows of one block of benchmark items, by length, and the items of each window."""
 
-    def __init__(self, item_ids: list[str], texts: list[str | None], window: int = WINDOW):
+    def __init__(self, item_ids: list[str | None], texts: list[str | None], window: int = WINDOW):
         words, bounds, *_ = word_array(pa.array(texts, pa.large_string()))
         coded = words.dictionary_encode()
         self.vocabulary = coded.dictionary
@@ -148,112 +159,116 @@ class Phrases:
             distinct, number = np.unique(np.concatenate(rows), axis=0, return_inverse=True)
             pairs = np.unique(np.stack([number.ravel(), np.concatenate(items)], 1), axis=0)
             self.by_length[size] = (distinct, np.searchsorted(pairs[:, 0], np.arange(len(distinct) + 1)), pairs[:, 1])
-        self.shortest = min(self.by_length, default=0)
-
-
-def find(phrases: Phrases, words: pa.Array, bounds: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """Over one shard: which words are hit, and the distinct (document, item) pairs."""
-    n, hits, found = len(words), np.zeros(len(words) + 1, np.int64), []
-    if not n or not phrases.shortest:
-        return hits[:n] > 0, []
-    codes = pc.fill_null(pc.index_in(words, value_set=phrases.vocabulary), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-    document = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    known = codes >= 0
-    first = known.copy()
-    first[1:] &= ~known[:-1] | (document[1:] != document[:-1])
-    run = np.cumsum(first)
-    long_enough = np.bincount(run[known], minlength=int(run[-1]) + 1) >= phrases.shortest
-    kept = np.flatnonzero(known & long_enough[run])
-    if not len(kept):
-        return hits[:n] > 0, []
-    new_run = np.concatenate([[True], run[kept[1:]] != run[kept[:-1]]])
-    place = np.arange(len(kept)) + np.cumsum(new_run)  # a separator stands before each run, and one at the end
-    symbols = np.zeros(int(place[-1]) + 2, np.int64)
-    symbols[place] = codes[kept] + 1
-    word_of = np.zeros(len(symbols), np.int64)
-    word_of[place] = kept
-    index = FMIndex(symbols, len(phrases.vocabulary))
-    for size, (patterns, item_begin, items) in phrases.by_length.items():
-        which, low, high = index.search(patterns)
-        if not len(which):
-            continue
-        count = high - low
-        ends = np.cumsum(count)
-        rows = np.repeat(low - (ends - count), count) + np.arange(ends[-1])
-        at = word_of[index.locate(rows)]
-        np.add.at(hits, at, 1)
-        np.add.at(hits, at + size, -1)
-        pairs = np.unique(np.stack([document[at], np.repeat(which, count)], 1), axis=0)
-        each = item_begin[pairs[:, 1] + 1] - item_begin[pairs[:, 1]]
-        ends = np.cumsum(each)
-        of = items[np.repeat(item_begin[pairs[:, 1]] - (ends - each), each) + np.arange(ends[-1])]
-        found.append(np.unique(np.stack([np.repeat(pairs[:, 0], each), of], 1), axis=0))
-    pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-    return np.cumsum(hits)[:n] > 0, [tuple(x) for x in pairs.tolist()]
-
-
-SPANS = "doc_id long, text string, spans array<struct<begin:int,end:int>>, items array<string>"
-SPAN = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
-
-
-def _searched(phrases, last: bool):
-    """A map over documents that adds one block's hits to those of earlier blocks; the last one drops nothing and counts."""
 
-    def run(batches):
-        block = phrases.value
-        for batch in shared.chunks(batches, limit=SHARD_BYTES):
-            texts = batch.column("text")
-            words, bounds, *_ = word_array(texts)
-            hit, pairs = find(block, words, bounds)
-            for doc, spans in enumerate(batch.column("spans").to_pylist() if any(batch.column("spans").is_valid().to_pylist()) else []):
-                for span in spans or []:
-                    hit[bounds[doc] + span["begin"] : bounds[doc] + span["end"]] = True
-            items = [set(x or []) for x in batch.column("items").to_pylist()]
-            for doc, item in pairs:
-                items[doc].add(block.items[item])
-            edge = np.concatenate([[False], hit, [False]])
-            cut = np.zeros(len(hit) + 1, bool)
-            cut[bounds] = True
-            begins = np.flatnonzero(edge[1:] & (~edge[:-1] | cut))
-            ends = np.flatnonzero(edge[:-1] & (~edge[1:] | cut))
-            of = np.searchsorted(bounds, begins, side="right") - 1
-            spans = [[] for _ in range(batch.num_rows)]
-            for doc, b, e in zip(of.tolist(), begins.tolist(), ends.tolist(), strict=True):
-                spans[doc].append({"begin": b - int(bounds[doc]), "end": e - int(bounds[doc])})
-            listed = [sorted(x) for x in items]
-            spans_array, items_array = pa.array(spans, SPAN), pa.array(listed, pa.list_(pa.string()))
-            if not last:
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), texts, spans_array, items_array], names=["doc_id", "text", "spans", "items"])
+
+class Shard:
+    """The words of a batch of documents and the FM-index over all of them."""
+
+    def __init__(self, texts: pa.Array):
+        words, self.bounds, *_ = word_array(texts)
+        self.n = len(words)
+        coded = words.dictionary_encode()
+        self.vocabulary = coded.dictionary
+        self.document = np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
+        place = np.arange(self.n) + 1 + self.document  # a separator stands before each document
+        symbols = np.zeros(self.n + len(self.bounds), np.int64)
+        symbols[place] = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        self.word_of = np.zeros(len(symbols), np.int64)
+        self.word_of[place] = np.arange(self.n)
+        self.index = FMIndex(symbols, len(self.vocabulary)) if self.n else None
+
+    def find(self, phrases: Phrases) -> tuple[np.ndarray, np.ndarray]:
+        """For each word (and the end) how many more occurrences begin than end there; the distinct pairs of document and item."""
+        edges, found = np.zeros(self.n + 1, np.int64), [np.zeros((0, 2), np.int64)]
+        if self.index is None:
+            return edges, found[0]
+        code = pc.fill_null(pc.index_in(phrases.vocabulary, value_set=self.vocabulary), -1).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        for size, (patterns, item_begin, items) in phrases.by_length.items():
+            symbols = code[patterns - 1]
+            possible = np.flatnonzero((symbols > 0).all(1))  # a word that the shard lacks has no rows
+            which, low, high = self.index.search(symbols[possible])
+            if not len(which):
                 continue
-            n_hit = [sum(s["end"] - s["begin"] for s in x) for x in spans]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.diff(bounds), pa.int64()), pa.array(n_hit, pa.int64()), spans_array, items_array], names=["doc_id", "n_words", "n_hit", "spans", "items"]
-            )
-        del block
-        shared.let_go(phrases)
+            which, count = possible[which], high - low
+            ends = np.cumsum(count)
+            at = self.word_of[self.index.locate(np.repeat(low - (ends - count), count) + np.arange(ends[-1]))]
+            np.add.at(edges, at, 1)
+            np.add.at(edges, at + size, -1)
+            pairs = np.unique(np.stack([self.document[at], np.repeat(which, count)], 1), axis=0)
+            each = item_begin[pairs[:, 1] + 1] - item_begin[pairs[:, 1]]
+            ends = np.cumsum(each)
+            of = items[np.repeat(item_begin[pairs[:, 1]] - (ends - each), each) + np.arange(ends[-1])]
+            found.append(np.stack([np.repeat(pairs[:, 0], each), of], 1))
+        return edges, np.unique(np.concatenate(found), axis=0)
+
+
+def searched(texts: pa.Array, blocks) -> tuple[np.ndarray, np.ndarray, list[set[str]]]:
+    """Over one shard and all blocks of the benchmark: which words are hit, the bounds of each document's words, and its items."""
+    shard, items = Shard(texts), [set() for _ in range(len(texts))]
+    edges = np.zeros(shard.n + 1, np.int64)
+    for block in blocks:
+        phrases = block.value
+        own, pairs = shard.find(phrases)
+        edges += own
+        for doc, item in pairs.tolist():
+            items[doc].add(phrases.items[item])
+        if len(blocks) > 1:
+            del phrases
+            block.__dict__.pop("_value", None)
+    return np.cumsum(edges)[:-1] > 0, shard.bounds, items
+
+
+def spans_of(hit: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The runs of hit words, none across documents: their documents, begins and ends, counted from the document's first word."""
+    edge = np.concatenate([[False], hit, [False]])
+    cut = np.zeros(len(hit) + 1, bool)
+    cut[bounds] = True
+    begins = np.flatnonzero(edge[1:] & (~edge[:-1] | cut))
+    ends = np.flatnonzero(edge[:-1] & (~edge[1:] | cut))
+    of = np.searchsorted(bounds, begins, side="right") - 1
+    return of, begins - bounds[of], ends - bounds[of]
+
+
+def broadcast_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> list:
+    """The benchmark's windows as broadcasts, each of about BLOCK_BYTES of text."""
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
+    size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
+    blocks = max(1, math.ceil(size / BLOCK_BYTES))
+    out = []
+    for k in range(blocks):
+        block = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k).collect()  # about BLOCK_BYTES of text
+        out.append(benchmark.sparkSession.sparkContext.broadcast(Phrases([r["item"] for r in block], [r["text"] for r in block], window)))
+    return out
+
 
-    return run
+FOUND = "doc_id long, n_words long, n_hit long, spans array<struct<begin:int,end:int>>, items array<string>"
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", window: int = WINDOW) -> DataFrame:
     """``doc_id, n_words, n_hit, spans, items`` for every document: hit words as merged spans of word numbers, and the items hit.
 
     Null and empty texts have no words; an item without words hits nothing; an item of fewer words than ``window`` is one
-    window. Items with a null id are not searched for. Repeated documents give a row each; rows that share an item id
-    add up to one item. Empty tables on either side give rows without hits, or none. Other columns are not read.
+    window. Windows of items with a null id are hit like any other, but no item is listed for them. Repeated documents give
+    a row each; rows that share an item id add up to one item. Empty tables on either side give rows without hits, or
+    none. Other columns are not read.
     """
-    spark = docs.sparkSession
-    rows = shared.id_and_text(docs, id_col, text_col).select("doc_id", "text", F.lit(None).cast("array<struct<begin:int,end:int>>").alias("spans"), F.lit(None).cast("array<string>").alias("items"))
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
-    size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    blocks = max(1, math.ceil(size / BLOCK_BYTES))
-    for k in range(blocks):
-        block = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k).collect()  # about BLOCK_BYTES of text
-        phrases = spark.sparkContext.broadcast(Phrases([r["item"] for r in block], [r["text"] for r in block], window))
-        last = k == blocks - 1
-        schema = "doc_id long, n_words long, n_hit long, spans array<struct<begin:int,end:int>>, items array<string>" if last else SPANS
-        rows = rows.mapInArrow(_searched(phrases, last), schema)
-    return rows
+    blocks = broadcast_blocks(benchmark, item_col, text_col, window)
+
+    def run(batches):
+        for batch in shared.chunks(batches, limit=SHARD_BYTES):
+            hit, bounds, items = searched(batch.column("text"), blocks)
+            of, begins, ends = spans_of(hit, bounds)
+            cuts = np.searchsorted(of, np.arange(batch.num_rows + 1)).astype(np.int32)
+            spans = pa.StructArray.from_arrays([pa.array(begins.astype(np.int32)), pa.array(ends.astype(np.int32))], names=["begin", "end"])
+            total = np.concatenate([[0], np.cumsum(hit)])[bounds]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(np.diff(bounds), pa.int64()), pa.array(np.diff(total), pa.int64()), pa.ListArray.from_arrays(pa.array(cuts), spans), pa.array([sorted(x - {None}) for x in items], pa.list_(pa.string()))],
+                names=["doc_id", "n_words", "n_hit", "spans", "items"],
+            )
+        for block in blocks:
+            shared.let_go(block)
+
+    return shared.id_and_text(docs, id_col, text_col).mapInArrow(run, FOUND)
 
 
 def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
@@ -266,12 +281,19 @@ def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join([*out, raw[at:]]).decode()
 
 
-def remove_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", window: int = WINDOW) -> DataFrame:
-    """The rows of ``docs``, with all their columns, in which no benchmark window occurs."""
-    key = shared.row_key(id_col, shared.text_of(text_col))
-    keyed = docs.select(key.alias("row"), F.col(text_col).alias("text"))
-    hit = find_contamination(keyed, benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text")), "row", "text", "item", window).where("n_hit > 0")
-    return shared.without(docs, key, hit.select(F.col("doc_id").alias("gone_id")))
+def remove_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs``, with all their columns, in which no benchmark window occurs; each row is judged by its text."""
+    blocks = broadcast_blocks(benchmark, item_col, text_col, window)
+
+    def judge():
+        def keeps(texts: pa.Array) -> np.ndarray:
+            hit, bounds, _ = searched(texts, blocks)
+            total = np.concatenate([[0], np.cumsum(hit)])[bounds]
+            return np.diff(total) == 0
+
+        return keeps
+
+    return shared.kept_rows(docs, text_col, judge, SHARD_BYTES)
 
 
 def digest(items: list[str]) -> str:

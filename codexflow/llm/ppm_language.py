@@ -9,16 +9,21 @@ hash table and falls back, adding the context's escape cost, only where no langu
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from codexflow.llm import shared
 
 ORDER = 4
 PIECE = 1 << 17
+UNDETERMINED = "und"
+RAW_BITS, LEAST_BYTES = 8.0, 64  # a code no shorter than the bytes themselves rejects a text of at least so many bytes
 
 
 class Table:
@@ -78,16 +83,25 @@ def grams(data: np.ndarray, size: int) -> np.ndarray:
     return key
 
 
+def counted(texts: pa.Array, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct grams of ``order + 1`` bytes that end at the texts' bytes, ascending, and how often each occurs."""
+    data, _, real = padded(texts, order)
+    return np.unique(grams(data, order + 1)[real], return_counts=True)
+
+
+def summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and the sums of their counts."""
+    distinct, place = np.unique(keys, return_inverse=True)
+    return distinct, np.bincount(place, times, len(distinct)).astype(np.int64)
+
+
 class ContextTrees:
     """The trees of several languages, merged into one table of code lengths for each order."""
 
-    def __init__(self, samples: dict[str, list[str]], order: int = ORDER):
-        self.languages, self.order = sorted(samples), order
-        count: list[dict] = [{} for _ in range(order + 1)]
-        for language in self.languages:
-            data, _, real = padded(pa.array(samples[language], pa.large_string()), order)
-            for d in range(order + 1):
-                count[d][language] = np.unique(grams(data, d + 1)[real], return_counts=True)
+    def __init__(self, longest: dict[str, tuple[np.ndarray, np.ndarray]], order: int = ORDER):
+        """``longest``: for each language its grams of ``order + 1`` bytes and their counts. Shorter grams are sums of longer ones."""
+        self.languages, self.order = sorted(longest), order
+        count: list[dict] = [{x: summed(keys & ((1 << (8 * (d + 1))) - 1), times) for x, (keys, times) in longest.items()} for d in range(order + 1)]
         self.tables, self.cost, self.escape = [], [], []
         width = len(self.languages)
         for d in range(order + 1):
@@ -114,6 +128,17 @@ class ContextTrees:
             self.cost.append(cost)
             self.escape.append((Table(context_keys), escape))
 
+    @classmethod
+    def of_texts(cls, samples: dict[str, list[str]], order: int = ORDER) -> ContextTrees:
+        return cls({language: counted(pa.array(texts, pa.large_string()), order) for language, texts in samples.items()}, order)
+
+    def packed(self) -> bytes:
+        return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(self, protocol=5))
+
+    @staticmethod
+    def unpacked(data: bytes) -> ContextTrees:
+        return pickle.loads(zstandard.ZstdDecompressor().decompress(data))
+
     def code_lengths(self, texts: pa.Array) -> np.ndarray:
         """Bits of each whole text (rows) under each language's tree (columns)."""
         data, bounds, real = padded(texts, self.order)
@@ -153,75 +178,112 @@ class ContextTrees:
         return bits
 
 
-def sample_by_language(docs: DataFrame, lang_col: str, per_language: int, longest: int) -> dict[str, list[str]]:
-    """Up to about ``per_language`` whole texts of each language, taken by a hash of the id; none longer than ``longest`` bytes."""
-    fit = docs.where(F.col(lang_col).isNotNull() & F.col("text").isNotNull() & (F.octet_length("text") <= longest) & (F.octet_length("text") > 0))
-    sizes = {r[0]: r[1] for r in fit.groupBy(lang_col).count().collect()}
-    if not sizes:
-        return {}
-    share = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, per_language / n))])
-    drawn = fit.where(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1_000_000)) < share[F.col(lang_col)] * 1_000_000)
-    samples: dict[str, list[str]] = {}
-    for language, text in drawn.select(lang_col, "text").limit(2 * per_language * len(sizes)).toLocalIterator():
-        samples.setdefault(language, []).append(text)
-    return samples
+class Judged:
+    """What the trees say of an array of texts."""
 
+    def __init__(self, trees: ContextTrees | None, texts: pa.Array, scale: float):
+        n = len(texts)
+        self.size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+        letters = pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False).to_numpy(zero_copy_only=False)
+        if trees is None:
+            self.language, self.score, self.bits = [UNDETERMINED] * n, np.zeros(n), np.zeros(n)
+            return
+        lengths = trees.code_lengths(texts)
+        at = lengths.argmin(1)
+        self.bits = lengths[np.arange(n), at] / np.maximum(self.size, 1)
+        worse = (lengths - lengths.min(1)[:, None]) * np.log(2) * np.minimum(1, scale / np.maximum(self.size, 1))[:, None]
+        self.score = np.where(letters, 1 / np.exp(-worse).sum(1), 0)
+        self.language = [trees.languages[k] if ok else UNDETERMINED for k, ok in zip(at.tolist(), letters.tolist(), strict=True)]
 
-def identify(docs: DataFrame, model: ContextTrees | None, id_col: str = "doc_id", text_col: str = "text", scale: float = 64.0) -> DataFrame:
+
+def identify(docs: DataFrame, model: bytes | None, id_col: str = "doc_id", text_col: str = "text", scale: float = 64.0) -> DataFrame:
     """``doc_id, lang_pred, score, bits_per_byte`` for every row: the language with the shortest code for the whole text.
 
-    ``score`` is the posterior of that language after ``scale`` bytes of such text (of the whole text if it is shorter).
-    A null text, or one without a letter, is ``und`` with score 0; so is any text where no language was learned. Ties go to
-    the first language in order. Repeated rows and null ids give a row each; an empty table gives an empty result.
+    ``model``: packed ContextTrees, or None. ``score`` is the posterior of that language after ``scale`` bytes of such text (of
+    the whole text if it is shorter). A null text, or one without a letter, is ``und`` with score 0; so is any text where no
+    language was learned. Ties go to the first language in order. Repeated rows and null ids give a row each; an empty
+    table gives an empty result.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        trees = shipped.value
+        trees = shipped.value and ContextTrees.unpacked(shipped.value)
         for batch in shared.chunks(batches, limit=1 << 20):
-            texts = batch.column("text")
-            n = len(texts)
-            size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-            letters = pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False).to_numpy(zero_copy_only=False)
-            if trees is None:
-                best, score, bits = ["und"] * n, np.zeros(n), np.zeros(n)
-            else:
-                lengths = trees.code_lengths(texts)
-                at = lengths.argmin(1)
-                bits = lengths[np.arange(n), at] / np.maximum(size, 1)
-                worse = (lengths - lengths.min(1)[:, None]) * np.log(2) * np.minimum(1, scale / np.maximum(size, 1))[:, None]
-                score = np.where(letters, 1 / np.exp(-worse).sum(1), 0)
-                best = [trees.languages[k] if ok else "und" for k, ok in zip(at.tolist(), letters.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(best, pa.string()), pa.array(score, pa.float64()), pa.array(bits, pa.float64())], names=["doc_id", "lang_pred", "score", "bits_per_byte"])
+            got = Judged(trees, batch.column("text"), scale)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(got.language, pa.string()), pa.array(got.score, pa.float64()), pa.array(got.bits, pa.float64())], names=["doc_id", "lang_pred", "score", "bits_per_byte"])
         del trees
         shared.let_go(shipped)
 
     return shared.id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, lang_pred string, score double, bits_per_byte double")
 
 
-def identify_with_training(docs: DataFrame, lang_col: str = "lang", per_language: int = 1500, longest: int = 1 << 16) -> DataFrame:
+def identify_with_training(docs: DataFrame, lang_col: str = "lang", per_language: int = 1500) -> DataFrame:
     """Learns from ``docs`` and predicts for ``docs``: ``doc_id, held_out, lang_pred, score``.
 
     Rows whose crc32(doc_id) mod 4 is 2 are held out; rows with a null id are not learned from either and count as held
-    out. The model is fitted on a bounded sample of the others: about ``per_language`` whole texts of each language, of at most
-    ``longest`` bytes each. Prediction covers every row and whole texts, and reads nothing but the text.
+    out. The model is fitted on a bounded sample of the others: at most ``per_language`` whole texts of each language, of any
+    length. Prediction covers every row and whole texts, and reads nothing but the text.
     """
-    return identify(docs, learned(docs, lang_col, per_language, longest)).select("doc_id", _held().alias("held_out"), "lang_pred", "score")
+    return identify(docs, learned(docs, lang_col, per_language)).select("doc_id", _held().alias("held_out"), "lang_pred", "score")
 
 
 def _held():
     return F.coalesce(shared.crc_mod("doc_id", 4) == 2, F.lit(True))
 
 
-def learned(docs: DataFrame, lang_col: str = "lang", per_language: int = 1500, longest: int = 1 << 16) -> ContextTrees | None:
-    """The model of a bounded sample of the rows that are not held out; None if no language can be learned."""
+def _fit(batches):
+    """One row with the packed trees of texts with their languages; no row without texts."""
+    grams_of: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    for batch in shared.chunks(batches):
+        language = batch.column("lang")
+        for name in language.unique().to_pylist():
+            keys, times = counted(batch.column("text").filter(pc.equal(language, name)))
+            before = grams_of.get(name)
+            grams_of[name] = (keys, times) if before is None else summed(np.concatenate([before[0], keys]), np.concatenate([before[1], times]))
+    if grams_of:
+        yield pa.RecordBatch.from_arrays([pa.array([ContextTrees(grams_of).packed()], pa.binary())], names=["model"])
+    grams_of.clear()
+    shared.trim()
+
+
+def learned(docs: DataFrame, lang_col: str = "lang", per_language: int = 1500) -> bytes | None:
+    """The packed model of a bounded sample of the rows that are not held out; None if no language can be learned.
+
+    The sample are the first ``per_language`` texts of each language by a hash of id and text, so that a run that is repeated
+    draws the same. One task counts them, piece by piece, and only the packed trees come to the driver.
+    """
+    shared.bound_batches(docs.sparkSession)
     labelled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where(~_held())
-    samples = sample_by_language(labelled, "lang", per_language, longest)
-    return ContextTrees(samples) if samples else None
+    fit = labelled.where(F.col("lang").isNotNull() & (F.octet_length("text") > 0))
+    sizes = {r[0]: r[1] for r in fit.groupBy("lang").count().collect()}
+    if not sizes:
+        return None
+    most = 1 << 40
+    cut = F.create_map(*[F.lit(x) for name, n in sizes.items() for x in (name, int(most * min(1.0, 1.5 * per_language / n + 50 / n)))])
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(17)), F.lit(most))
+    first = Window.partitionBy("lang").orderBy("draw", "doc_id", "text")
+    drawn = fit.withColumn("draw", draw).where(F.col("draw") < cut[F.col("lang")]).withColumn("place", F.row_number().over(first)).where(F.col("place") <= per_language)
+    rows = drawn.select("lang", "text").coalesce(1).mapInArrow(_fit, "model binary").collect()
+    return bytes(rows[0].model) if rows else None
+
+
+def keep_identified(docs: DataFrame, lang_col: str = "lang", languages: list[str] | None = None, per_language: int = 1500, scale: float = 64.0) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose predicted language is one of ``languages`` (by default any learned one).
+
+    A text without a letter is ``und`` and goes. So does a text of LEAST_BYTES bytes or more for which the best tree's code takes
+    RAW_BITS bits a byte or more: no language explains it any better than none. Without any learned language all rows go.
+    """
+    shipped = docs.sparkSession.sparkContext.broadcast(learned(docs, lang_col, per_language))
+
+    def judge():
+        trees = shipped.value and ContextTrees.unpacked(shipped.value)
+        shared.let_go(shipped)
+        accepted = set(languages if languages is not None else trees.languages if trees else [])
+
+        def keeps(texts: pa.Array) -> np.ndarray:
+            got = Judged(trees, texts, scale)
+            return np.array([x in accepted for x in got.language], bool) & ~((got.size >= LEAST_BYTES) & (got.bits >= RAW_BITS))
 
+        return keeps
 
-def keep_identified(docs: DataFrame, lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs``, with all their columns, except those that language identification rejects as ``und``."""
-    key = shared.row_key("doc_id", shared.text_of())
-    rejected = identify(docs.select(key.alias("row"), "text"), learned(docs, lang_col), "row").where("lang_pred = 'und'")
-    return shared.without(docs, key, rejected.select(F.col("doc_id").alias("gone_id")))
+    return shared.kept_rows(docs, "text", judge)

@@ -81,7 +81,7 @@ _W = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVW
 
 OP8_SQL = f"""
 WITH d AS (SELECT doc_id, {_W} AS w FROM documents),
-b AS (SELECT item_id, {_W} AS w FROM benchmark WHERE item_id IS NOT NULL),
+b AS (SELECT item_id, {_W} AS w FROM benchmark),
 bw AS (SELECT DISTINCT item_id, least(10, len(w)) AS size, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') AS win
        FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
 sizes AS (SELECT DISTINCT size FROM bw),
@@ -90,7 +90,7 @@ dw AS (SELECT doc_id, size, i, array_to_string(w[i : i + size - 1], ' ') AS win
 hit AS (SELECT DISTINCT doc_id, i, size, item_id FROM dw JOIN bw USING (size, win)),
 words AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + size)) AS p FROM hit) GROUP BY doc_id),
 items AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
-          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY doc_id)
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hit WHERE item_id IS NOT NULL) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)

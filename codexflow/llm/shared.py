@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import ctypes
+import hashlib
 import math
 import re
 import sys
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BROADCAST_MOST = 2_000_000  # ids, hence 16 MB
+BROADCAST_MOST = 250_000  # numbers, hence 2 MB
 BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 1 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -26,10 +28,13 @@ LOWER[65:91] += 32
 def shared_dir(spark: SparkSession) -> str:
     """A new folder that driver and executors share, below ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (local runs and tests) a temporary folder takes its place.
+    Where that setting is absent, a local session gets a temporary folder of its own; on a cluster, whose machines would not
+    share one, that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="codexflow-")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
@@ -42,24 +47,45 @@ def stored(df: DataFrame, where: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(where)
 
 
+def removed(spark: SparkSession, *where: str) -> None:
+    """Deletes tables that nothing reads any more from the shared folder."""
+    for path in where:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def small(table: DataFrame, columns: int = 1) -> DataFrame:
     """A stored table of numbers, to be broadcast if its count allows it (BROADCAST_MOST numbers in all), else as it is."""
     return F.broadcast(table) if table.count() * columns <= BROADCAST_MOST else table
 
 
-def row_key(id_col: str, content: Column) -> Column:
-    """A 64-bit key of a row's id and content: rows that share an id, or have none, differ by it if their contents do."""
-    return F.xxhash64(F.col(id_col).isNull(), F.coalesce(F.col(id_col).cast("long"), F.lit(0)), content)
+def without(docs: DataFrame, keys: list[Column], gone: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose ``keys`` are no row of ``gone`` (columns in the same order, nulls included).
+
+    What goes is stored and counted: up to BROADCAST_MOST numbers are broadcast, so that no text is shuffled; more are joined by a
+    shuffle. No column name of ``docs`` clashes with those of ``gone``, which are made up here.
+    """
+    taken = {c.lower() for c in docs.columns}
+    names = [next(n for n in (f"gone{k}{'_' * i}" for i in range(len(taken) + 1)) if n not in taken) for k in range(len(keys))]
+    gone = stored(gone.toDF(*names).distinct(), f"{shared_dir(docs.sparkSession)}/gone")
+    same = [key.eqNullSafe(gone[name]) for key, name in zip(keys, names, strict=True)]
+    return docs.join(small(gone, len(names)), same, "left_anti")
 
 
-def without(docs: DataFrame, key: Column, gone: DataFrame) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose ``key`` is not in ``gone`` (column gone_id, nulls included).
+def kept_rows(docs: DataFrame, text_col: str, judge: Callable[[], Callable[[pa.Array], np.ndarray]], limit: int = 1 << 20) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that a judge of texts keeps: one map, without keys or joins.
 
-    The keys that go are stored and counted: up to BROADCAST_MOST of them are broadcast, so that no text is shuffled; more are
-    joined by a shuffle.
+    ``judge`` is called once in each task and returns a function from texts to flags.
     """
-    gone = stored(gone.select(F.col("gone_id").cast("long").alias("gone_id")).distinct(), f"{shared_dir(docs.sparkSession)}/gone")
-    return docs.join(small(gone), key.eqNullSafe(F.col("gone_id")), "left_anti")
+    bound_batches(docs.sparkSession)
+    place = docs.columns.index(text_col)
+
+    def run(batches):
+        keeps = judge()
+        for batch in chunks(batches, place, limit):
+            yield batch.filter(pa.array(keeps(batch.column(place).cast(pa.string())), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def text_of(name: str = "text") -> Column:
@@ -96,7 +122,7 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def chunks(batches, column: str = "text", limit: int = 4 << 20):
+def chunks(batches, column: str | int = "text", limit: int = 4 << 20):
     """Joins small Arrow batches, and cuts large ones, to about ``limit`` bytes of ``column``; one longer text stays whole."""
     held, size = [], 0
     for batch in batches:
@@ -166,10 +192,6 @@ def words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np
     return begins, ends
 
 
-_ODD = np.uint64(0x9E3779B97F4A7C15 | 1)
-_INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser of 64-bit values (the public splitmix64 constants)."""
     x = x ^ (x >> np.uint64(30))
@@ -179,30 +201,30 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_powers: dict[str, np.ndarray] = {}
+_BELOW = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)  # masks of the first k bytes
 
 
-def _power(name: str, base: np.uint64, n: int) -> np.ndarray:
-    got = _powers.get(name)
-    if got is None or len(got) < n:
-        got = np.full(max(n, 1 << 16), base, np.uint64)
-        got[0] = 1
-        _powers[name] = got = np.multiply.accumulate(got)
-    return got
+def word_digests(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits for each word, in two arrays, under keys drawn from ``seed``.
+
+    Words of up to 16 bytes are their own bytes under a bijection for each length; longer ones, which are few, are hashed by
+    keyed BLAKE2b. The two halves are as good as independent.
+    """
+    keys = np.frombuffer(hashlib.blake2b(b"words %d" % seed, digest_size=32).digest(), np.uint64)
+    size = ends - begins
+    held = np.concatenate([data, np.zeros(16, np.uint8)])
+    eights = np.ndarray((len(held) - 7,), "<u8", held, strides=(1,))  # the eight bytes from each place on
+    a = eights[begins] & _BELOW[np.minimum(size, 8)]
+    b = eights[np.minimum(begins + 8, len(held) - 8)] & _BELOW[np.clip(size - 8, 0, 8)]
+    length = size.astype(np.uint64)
+    x = a ^ mixed(b + keys[0] + length * keys[2])
+    y = b ^ mixed(x + keys[1] + length * keys[3])
+    high, low = mixed(x), mixed(y + keys[2])
+    for i in np.flatnonzero(size > 16).tolist():
+        high[i], low[i] = np.frombuffer(hashlib.blake2b(data[begins[i] : ends[i]].tobytes(), digest_size=16, key=keys.tobytes()).digest(), np.uint64)
+    return high, low
 
 
 def word_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word: a polynomial over its bytes, taken from prefix sums, then mixed with its length."""
-    step = 1 << 20
-    out = np.empty(len(begins), np.uint64)
-    at = 0
-    while at < len(begins):  # prefix sums over about a MB, so that the tables stay in cache
-        low = int(begins[at])
-        to = max(at + 1, int(np.searchsorted(ends, low + step, side="right")))
-        part = data[low : int(ends[to - 1])].astype(np.uint64) + np.uint64(1)
-        sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(part * _power("up", _ODD, len(part))[: len(part)], out=sums[1:])
-        b, e = begins[at:to] - low, ends[at:to] - low
-        out[at:to] = (sums[e] - sums[b]) * _power("down", _INVERSE, len(part) + 1)[b] + (e - b).astype(np.uint64)
-        at = to
-    return mixed(out)
+    """A 64-bit hash of each word."""
+    return word_digests(data, begins, ends)[0]

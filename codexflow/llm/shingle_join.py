@@ -8,14 +8,19 @@ prefix shingles as the smaller k of the two before it is verified.
 
 The join's result is the components of the link graph, so that links within a component need not all be listed:
 
-1. documents with equal sets form classes; only one of a task's chunk goes on;
-2. prefixes meet by shingle. Of each shingle's documents the one with the largest share of frequent shingles leads; the
-   others pair with it, pairs are verified, and links give components;
+1. documents with equal sets form classes; only one of a task's stretch goes on;
+2. prefixes meet by shingle. Of each shingle's documents the one with the largest share of frequent shingles leads, first
+   within a task and then among the tasks' leaders, so that a shingle of very many documents is no task's whole load; the
+   others pair with their leader, pairs are verified, and links give components;
 3. all pairs that share a prefix shingle and lie in different components are counted, filtered by size, position and
    number of shared prefix shingles, and verified.
 
 Step 3 alone is complete: any link not found there lies within one component. Step 2 keeps a group of m near copies from
 giving m * m pairs. The frequency list decides only the order, hence speed, never the result.
+
+A shingle is known by 128 bits, under a key, of its words; classes compare a 128-bit digest of the whole set and pairs the
+128 bits of each shingle. The chance that any two of n different shingles agree is below n * n / 2**129: 2e-13 for 10**13.
+The first 56 of these bits stand for a shingle where a collision costs time only: in the order and in the join of prefixes.
 """
 
 from __future__ import annotations
@@ -24,6 +29,8 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,36 +41,63 @@ MOST = 4
 VERIFY_COST = 8.0
 LOCAL_LEAST = 2
 FREQUENT_MOST = 1 << 21
-MASK = np.uint64((1 << 56) - 1)
-FACTORS = shared.mixed(np.arange(1, SIZE + 1, dtype=np.uint64)) | np.uint64(1)
+SEED = 5
+HELD_PREFIXES = 500_000  # prefix rows of a task among which leaders are chosen at once
+FACTORS = shared.mixed(np.arange(1, 2 * SIZE + 1, dtype=np.uint64)).reshape(2, SIZE) | np.uint64(1)
 
 
 def shingles(texts: pa.Array) -> list[np.ndarray]:
-    """Each text's set of shingle hashes (56 bits), ascending. Fewer than SIZE words make one shingle, none make none."""
+    """Each text's set of shingles: two rows of 64 bits, in ascending order. Fewer than SIZE words make one shingle, none make none."""
     data, offsets = shared.flat(texts)
     data = shared.LOWER[data]
     begins, ends = shared.words(data, offsets, ~shared.SPACE)
-    words = shared.word_hashes(data, begins, ends)
+    words = np.stack(shared.word_digests(data, begins, ends, SEED))
     bounds = np.searchsorted(begins, offsets)
-    n = max(0, len(words) - SIZE + 1)
-    total = np.zeros(n, np.uint64)
+    n = max(0, words.shape[1] - SIZE + 1)
+    total = np.zeros((2, n), np.uint64)
     for k in range(SIZE):
-        total += words[k : k + n] * FACTORS[k]
-    total = shared.mixed(total) & MASK
+        total += words[:, k : k + n] * FACTORS[:, k : k + 1]
+    total = shared.mixed(total)
     out = []
     for b, e in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         if e - b >= SIZE:
-            out.append(np.unique(total[b : e - SIZE + 1]))
+            out.append(as_set(total[:, b : e - SIZE + 1]))
         elif e > b:
-            out.append(shared.mixed(np.array([(words[b:e] * FACTORS[: e - b]).sum() + np.uint64(e - b)], np.uint64)) & MASK)
+            out.append(shared.mixed((words[:, b:e] * FACTORS[:, : e - b]).sum(1, keepdims=True) + np.uint64(e - b)))
         else:
-            out.append(total[:0])
+            out.append(total[:, :0])
     return out
 
 
-FIRST = "kind int, id long, n long, signature binary, b0 long, b1 long, b2 long, b3 long"
+def as_set(both: np.ndarray) -> np.ndarray:
+    """Distinct columns in ascending order."""
+    both = both[:, np.argsort(both[0])]
+    same = both[0, 1:] == both[0, :-1]
+    if same.any():
+        if (both[1, 1:] != both[1, :-1])[same].any():
+            both = both[:, np.lexsort((both[1], both[0]))]
+        both = both[:, np.concatenate([[True], (both[:, 1:] != both[:, :-1]).any(0)])]
+    return both
+
+
+def overlap(x: np.ndarray, y: np.ndarray) -> int:
+    """How many shingles two sets share."""
+    if not x.shape[1] or not y.shape[1]:
+        return 0
+    if (y[0, 1:] == y[0, :-1]).any():  # different shingles with the same first half
+        return len(set(zip(*x.tolist(), strict=True)) & set(zip(*y.tolist(), strict=True)))
+    at = np.minimum(np.searchsorted(y[0], x[0]), y.shape[1] - 1)
+    return int((y[:, at] == x).all(0).sum())
+
+
+def short(s: np.ndarray) -> np.ndarray:
+    """The 56 bits that stand for a shingle in order and prefixes; ascending as the set is."""
+    return s[0] >> np.uint64(8)
+
+
+FIRST = "kind int, id long, n long, signature binary, local long, b0 long, b1 long, b2 long, b3 long"
 PARITY = ["b0", "b1", "b2", "b3"]
-FIRST_NAMES = ["kind", "id", "n", "signature", "b0", "b1", "b2", "b3"]
+FIRST_NAMES = ["kind", "id", "n", "signature", "local", *PARITY]
 
 
 def parities(sets: list[np.ndarray]) -> list[np.ndarray]:
@@ -73,12 +107,12 @@ def parities(sets: list[np.ndarray]) -> list[np.ndarray]:
     """
     bits = np.zeros((len(sets), 256), np.uint8)
     for row, s in zip(bits, sets, strict=True):
-        row[:] = np.bincount((s & np.uint64(255)).astype(np.int64), minlength=256) & 1
+        row[:] = np.bincount((s[0] & np.uint64(255)).astype(np.int64), minlength=256) & 1
     return list(np.packbits(bits, axis=1).reshape(len(sets), 4, 8).view(np.int64)[:, :, 0].T.copy()) if sets else [np.zeros(0, np.int64)] * 4
 
 
 def _members_and_frequent(batches):
-    """Of each document its size, signature and parity bits (kind 0), and the shingles that several sets of a task's chunk hold (kind 1)."""
+    """Of each document its size, signature, class within the task's stretch and parity bits (kind 0), and the shingles that several sets of the stretch hold (kind 1)."""
     held, size = [], 0
 
     def frequent():
@@ -86,24 +120,29 @@ def _members_and_frequent(batches):
         some = times >= LOCAL_LEAST
         n = int(some.sum())
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, 1, np.int32)), pa.array(keys[some].astype(np.int64)), pa.array(times[some].astype(np.int64)), pa.nulls(n, pa.binary()), *[pa.nulls(n, pa.int64())] * 4], names=FIRST_NAMES
+            [pa.array(np.full(n, 1, np.int32)), pa.array(keys[some].astype(np.int64)), pa.array(times[some].astype(np.int64)), pa.nulls(n, pa.binary()), *[pa.nulls(n, pa.int64())] * 5], names=FIRST_NAMES
         )
 
-    seen: set = set()
+    seen: dict = {}
+    task, serial = TaskContext.get().partitionId() << 40, 0
     for batch in shared.chunks(batches, limit=2 << 20):
         sets = shingles(batch.column("text"))
         signatures = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.zeros(len(sets), np.int32)), batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(signatures, pa.binary()), *(pa.array(b) for b in parities(sets))], names=FIRST_NAMES
-        )
+        local = []
         for signature, s in zip(signatures, sets, strict=True):
             if signature not in seen:
-                seen.add(signature)
-                held.append(s)
-                size += len(s)
+                seen[signature] = task + serial
+                serial += 1
+                held.append(short(s))
+                size += s.shape[1]
+            local.append(seen[signature])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.zeros(len(sets), np.int32)), batch.column("doc_id"), pa.array([s.shape[1] for s in sets], pa.int64()), pa.array(signatures, pa.binary()), pa.array(local, pa.int64()), *(pa.array(b) for b in parities(sets))],
+            names=FIRST_NAMES,
+        )
         if size > 2_000_000:
             yield from shared.pieces(frequent())
-            held, size, seen = [], 0, set()
+            held, size, seen = [], 0, {}
     if size:
         yield from shared.pieces(frequent())
 
@@ -120,14 +159,14 @@ class Order:
 
     def keys(self, sets: list[np.ndarray]) -> list[np.ndarray]:
         """The sets as keys in this order."""
-        flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        flat = np.concatenate([short(s) for s in sets]) if sets else np.zeros(0, np.uint64)
         keys = flat.copy()
         if len(self.frequent):
             some = np.flatnonzero(self.marked[(flat >> np.uint64(40)).astype(np.int64)])
             at = np.minimum(np.searchsorted(self.frequent, flat[some]), len(self.frequent) - 1)
             hit = self.frequent[at] == flat[some]
             keys[some[hit]] |= self.classes[at[hit]].astype(np.uint64) << np.uint64(56)
-        ends = np.cumsum([len(s) for s in sets])
+        ends = np.cumsum([s.shape[1] for s in sets])
         return [np.sort(k) for k in np.split(keys, ends[:-1])] if sets else []
 
 
@@ -146,71 +185,103 @@ def prefix_of(keys: np.ndarray) -> tuple[int, int]:
     return best, base + best
 
 
-PREFIX = "key long, doc long, n int, pos int, least int, common double"
+ROW = {"key": np.int64, "doc": np.int64, "n": np.int32, "pos": np.int32, "least": np.int32, "common": np.float64}
+LEAD = {"lead": np.int64, "lead_n": np.int32, "lead_pos": np.int32}
+PREFIX = "key long, doc long, n int, pos int, least int, common double, led boolean, deal long, lead long, lead_n int, lead_pos int"
+
+
+def _with_leaders(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """Prefix rows of a task's stretch: of each key the leader, with a note whether others follow it, and those others with their leader.
+
+    Leaders of a key are dealt together, others anywhere.
+    """
+    order = np.lexsort((rows["doc"], -rows["common"], rows["key"]))
+    rows = {k: x[order] for k, x in rows.items()}
+    starts = np.flatnonzero(np.concatenate([[True], rows["key"][1:] != rows["key"][:-1]]))
+    sizes = np.diff(np.append(starts, len(order)))
+    lead = np.repeat(starts, sizes)
+    leads = lead == np.arange(len(order))
+    columns = [pa.array(rows[c].astype(t)) for c, t in ROW.items()]
+    columns += [pa.array(leads & np.repeat(sizes > 1, sizes)), pa.array(np.where(leads, 0, rows["doc"]))]
+    columns += [pa.array(rows[c][lead].astype(t), mask=leads) for c, t in zip(("doc", "n", "pos"), LEAD.values(), strict=True)]
+    return pa.RecordBatch.from_arrays(columns, names=[*ROW, "led", "deal", *LEAD])
 
 
 def _prefixes(order):
     def run(batches):
+        held, size = [], 0
         for batch in shared.chunks(batches, limit=2 << 20):
-            sets = order.value.keys(shingles(batch.column("text")))
-            seen, columns = set(), [[] for _ in range(6)]
-            for doc, keys in zip(batch.column("doc_id").to_pylist(), sets, strict=True):
+            sets = shingles(batch.column("text"))
+            seen = set()
+            for doc, s, keys in zip(batch.column("doc_id").to_pylist(), sets, order.value.keys(sets), strict=True):
                 if len(keys) < 2:
                     continue  # a set of one links to equal sets only, and those are one class
-                content = keys.tobytes()
+                content = s.tobytes()
                 if content in seen:
                     continue
                 seen.add(content)
                 least, length = prefix_of(keys)
-                common = float((keys >> np.uint64(56) > 0).mean())
-                for column, x in zip(columns, (keys[:length].astype(np.int64), doc, len(keys), np.arange(length), least, common), strict=True):
-                    column.append(x if isinstance(x, np.ndarray) else np.full(length, x))
-            if columns[0]:
-                kinds = (np.int64, np.int64, np.int32, np.int32, np.int32, np.float64)
-                yield from shared.pieces(pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(t)) for c, t in zip(columns, kinds, strict=True)], names=["key", "doc", "n", "pos", "least", "common"]))
+                held.append((keys[:length].astype(np.int64), doc, len(keys), np.arange(length), least, float((keys >> np.uint64(56) > 0).mean())))
+                size += length
+            if size >= HELD_PREFIXES:
+                yield from shared.pieces(_with_leaders(_joined(held)))
+                held, size = [], 0
+        if held:
+            yield from shared.pieces(_with_leaders(_joined(held)))
         shared.let_go(order)
 
     return run
 
 
+def _joined(held: list[tuple]) -> dict[str, np.ndarray]:
+    lengths = [len(x[0]) for x in held]
+    return {c: np.concatenate([x[k] for x in held]) if c in ("key", "pos") else np.repeat(np.array([x[k] for x in held], t), lengths) for k, (c, t) in enumerate(ROW.items())}
+
+
 MET = "key long, doc long, n int, pos int, least int, lead long, lead_n int, lead_pos int"
+MET_NAMES = ["key", "doc", "n", "pos", "least", *LEAD]
 
 
 def _met(batches):
-    """Over rows sorted by key: those whose key more than one row has, each with its key's first row."""
+    """Over rows sorted by key, leaders of a key by their rank: those whose key more than one row has, each with its leader."""
     state = None  # key, leader's row, whether the leader is still to be sent
+    names = ("key", "doc", "n", "pos", "least", "led")
     for batch in batches:
+        follows = batch.column("lead").is_valid()
+        followers = batch.filter(follows)
+        if followers.num_rows:
+            yield followers.select(MET_NAMES)
+        batch = batch.filter(pc.invert(follows))
         if not batch.num_rows:
             continue
-        key, doc, n, pos, least = (batch.column(c).to_numpy() for c in ("key", "doc", "n", "pos", "least"))
-        if state is not None and state[0] == key[0]:
-            key, doc, n, pos, least = (np.concatenate([[x], y]) for x, y in zip(state[1], (key, doc, n, pos, least), strict=True))
+        rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
+        again = False
+        if state is not None and state[0] == rows[0][0]:
+            rows = [np.concatenate([[x], y]) for x, y in zip(state[1], rows, strict=True)]
             again = not state[2]
-        else:
-            again = False
+        key, doc, n, pos, least, led = rows
         starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         sizes = np.diff(np.append(starts, len(key)))
         lead = np.repeat(starts, sizes)
-        keep = np.repeat(sizes > 1, sizes)
+        keep = np.repeat(sizes > 1, sizes) | led
         if again:
             keep[0] = False
         last = starts[-1]
-        state = (key[last], tuple(x[last] for x in (key, doc, n, pos, least)), sizes[-1] == 1 and not (again and last == 0))
+        state = (key[last], tuple(x[last] for x in rows), not keep[last] and not (again and last == 0))
         if keep.any():
             lead = lead[keep]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x[keep].astype(t)) for x, t in ((key, np.int64), (doc, np.int64), (n, np.int32), (pos, np.int32), (least, np.int32))] + [pa.array(doc[lead].astype(np.int64)), pa.array(n[lead].astype(np.int32)), pa.array(pos[lead].astype(np.int32))],
-                names=["key", "doc", "n", "pos", "least", "lead", "lead_n", "lead_pos"],
-            )
+            values = [x[keep] for x in (key, doc, n, pos, least)] + [x[lead] for x in (doc, n, pos)]
+            kinds = [ROW[c] for c in MET_NAMES[:5]] + list(LEAD.values())
+            yield pa.RecordBatch.from_arrays([pa.array(x.astype(t)) for x, t in zip(values, kinds, strict=True)], names=MET_NAMES)
 
 
 def _verify(batches):
     for batch in batches:
         keep = []
         for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist(), strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * both >= 80 * (len(x) + len(y) - both))
+            x, y = np.frombuffer(x, np.uint64).reshape(2, -1), np.frombuffer(y, np.uint64).reshape(2, -1)
+            both = overlap(x, y)
+            keep.append(100 * both >= 80 * (x.shape[1] + y.shape[1] - both))
         keep = pa.array(keep, pa.bool_())
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
@@ -222,14 +293,14 @@ def _sets(batches):
 
 def verified(docs: DataFrame, pairs: DataFrame, where: str) -> DataFrame:
     """Those of ``pairs`` (a, b) whose whole sets link, written at ``where``."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    if needed.count() <= shared.BROADCAST_MOST:
-        needed = F.broadcast(needed)
-    sets = docs.join(needed, "doc_id", "left_semi").mapInArrow(_sets, "doc long, members binary")
+    needed = shared.stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"{where}-needed")
+    sets = docs.join(shared.small(needed), "doc_id", "left_semi").mapInArrow(_sets, "doc long, members binary")
     sets = shared.stored(sets, f"{where}-sets", compression="uncompressed")
     with_b = pairs.join(sets.withColumnsRenamed({"doc": "b", "members": "set_b"}), "b")
     both = with_b.join(sets.withColumnsRenamed({"doc": "a", "members": "set_a"}), "a")
-    return shared.stored(both.mapInArrow(_verify, "a long, b long"), where)
+    links = shared.stored(both.mapInArrow(_verify, "a long, b long"), where)
+    shared.removed(docs.sparkSession, f"{where}-needed", f"{where}-sets")
+    return links
 
 
 def _may_link(n: str, m: str):
@@ -259,7 +330,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     where = shared.shared_dir(spark)
     docs = shared.id_and_text(docs, id_col, text_col)
     first = shared.stored(docs.mapInArrow(_members_and_frequent, FIRST), f"{where}/first")
-    members = first.where("kind = 0").select(F.col("id").alias("doc"), "n", "signature", *PARITY)
+    members = first.where("kind = 0").select(F.col("id").alias("doc"), "n", "signature", "local", *PARITY)
 
     counted = first.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n"))
     levels = counted.groupBy(F.floor(F.log2("n") * 4).alias("level")).count().orderBy(F.desc("level")).collect()  # at most 256 rows
@@ -272,7 +343,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     order = spark.sparkContext.broadcast(Order(frequent.column("id").to_numpy(), frequent.column("n").to_numpy()))
 
     known = docs.where(F.col("doc_id").isNotNull())
-    prefixes = known.mapInArrow(_prefixes(order), PREFIX).repartition("key").sortWithinPartitions("key", F.desc("common"), "doc")
+    prefixes = known.mapInArrow(_prefixes(order), PREFIX).repartition("key", "deal").sortWithinPartitions("key", F.desc("common"), "doc")
     met = shared.stored(prefixes.mapInArrow(_met, MET), f"{where}/met")
 
     led = met.where((F.col("doc") != F.col("lead")) & _may_link("n", "lead_n"))
@@ -285,12 +356,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     led = shared.stored(led.join(a, "a").join(b, "b").where(_near_parities()).select("a", "b"), f"{where}/led")
     links = verified(known, led, f"{where}/links")
 
-    # classes of equal sets, and for each id the smallest document of its class; a hot class is summed up before it is dealt,
-    # and joined, so that no task has to hold it
-    shingled = members.where("n > 0 AND doc IS NOT NULL").select("doc", "n", "signature")
-    classes = shingled.join(shingled.groupBy("signature", "n").agg(F.min("doc").alias("rep")), ["signature", "n"]).select("doc", "rep")
-    classes = shared.stored(classes, f"{where}/classes")
-    rep = classes.groupBy("doc").agg(F.min("rep").alias("rep"))
+    # classes of equal sets, and for each id the smallest document of its class: a class meets as one row for each task's stretch
+    shingled = members.where("n > 0 AND doc IS NOT NULL")
+    stretch = shared.stored(shingled.groupBy("local").agg(F.min("doc").alias("low"), F.min("signature").alias("signature"), F.min("n").alias("n")), f"{where}/stretch")
+    whole = shared.stored(stretch.groupBy("signature", "n").agg(F.min("low").alias("rep")), f"{where}/whole")
+    named = stretch.join(whole, ["signature", "n"]).select("local", "rep")
+    classes = shared.stored(shingled.select("doc", "local").join(named, "local").select("doc", "rep"), f"{where}/classes")
+    rep = shared.stored(classes.groupBy("doc").agg(F.min("rep").alias("rep")), f"{where}/rep")
     own = classes.join(rep.withColumnRenamed("rep", "least"), "doc").where("rep <> least").select(F.col("least").alias("a"), F.col("rep").alias("b"))
 
     def labelled(links: DataFrame, name: str) -> DataFrame:
@@ -331,4 +403,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_smallest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, whose id names its component: one document of each group."""
     gone = near_duplicates(docs, id_col, text_col).where("component_id <> doc_id")
-    return shared.without(docs, F.col(id_col).cast("long"), gone.select(F.col("doc_id").alias("gone_id")))
+    return shared.without(docs, [F.col(id_col).cast("long")], gone.select("doc_id"))

@@ -19,7 +19,7 @@ def brute(rows, items, window=10):
     windows = {}
     for item, text in items:
         w = words_of(text)
-        if item is not None and w:
+        if w:
             size = min(window, len(w))
             for k in range(len(w) - size + 1):
                 windows.setdefault(tuple(w[k : k + size]), set()).add(item)
@@ -31,7 +31,7 @@ def brute(rows, items, window=10):
             for k in range(len(w) - size + 1):
                 if names := windows.get(tuple(w[k : k + size])):
                     hit |= set(range(k, k + size))
-                    found |= names
+                    found |= names - {None}
         out.append((-1 if i is None else i, len(w), len(hit), sorted(found)))
     return sorted(out)
 

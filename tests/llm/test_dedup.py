@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from codexflow.llm import components, exact_dedup, shared, shingle_join
@@ -126,36 +127,83 @@ def test_keep_smallest(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i in want if want[i] == i} | {None}
 
 
+def test_words_of_unlike_shape_differ():
+    """A word and its complement whose polynomial hashes agree modulo any power of two, at any base."""
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    texts = [f"one two {word} four five", f"one two {other} four five"]
+    x, y = shingle_join.shingles(pa.array(texts))
+    assert shingle_join.overlap(x, y) == 0 and shingle_join.overlap(x, x) == 1
+
+
+def test_word_digests_are_of_the_word_alone():
+    rng = random.Random(7)
+    words = [w for w in {"".join(rng.choice("ab\0é") for _ in range(rng.randint(1, 20))) for _ in range(3000)}]
+    text = " ".join(words).encode()
+    data = np.frombuffer(text, np.uint8)
+    begins, ends = shared.words(data, np.array([0, len(data)]), ~shared.SPACE)
+    high, low = shared.word_digests(data, begins, ends)
+    assert len(set(high.tolist())) == len(set(low.tolist())) == len(words)
+    alone = [shared.word_digests(np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([len(w.encode())])) for w in words]
+    assert [(int(h[0]), int(v[0])) for h, v in alone] == list(zip(high.tolist(), low.tolist(), strict=True))
+
+
+def test_sets_with_equal_halves():
+    x = shingle_join.as_set(np.array([[3, 3, 1, 3], [5, 4, 9, 5]], np.uint64))
+    assert x.tolist() == [[1, 3, 3], [9, 4, 5]]
+    assert shingle_join.overlap(np.array([[3], [5]], np.uint64), x) == 1 and shingle_join.overlap(x, np.array([[3], [6]], np.uint64)) == 0
+
+
 def test_prefixes_of_linked_sets_meet_often_enough():
     rng = np.random.default_rng(0)
     order = shingle_join.Order(np.arange(0, 4000, 7), np.arange(0, 4000, 7) + 2)
+
+    def wide(values):
+        return np.stack([values << np.uint64(8) | values % np.uint64(251), values])
+
     for _ in range(200):
         x = rng.choice(4000, int(rng.integers(2, 300)), replace=False).astype(np.uint64)
         y = np.unique(np.concatenate([rng.permutation(x)[: max(1, int(len(x) * rng.uniform(0.78, 1)))], rng.choice(4000, max(1, len(x) // 20)).astype(np.uint64)]))
         x = np.unique(x)
         both = len(np.intersect1d(x, y))
+        assert shingle_join.overlap(wide(x), wide(y)) == both
         if 100 * both < 80 * (len(x) + len(y) - both):
             continue
-        a, b = order.keys([x, y])
+        a, b = order.keys([wide(x), wide(y)])
         (ka, la), (kb, lb) = shingle_join.prefix_of(a), shingle_join.prefix_of(b)
         assert len(np.intersect1d(a[:la], b[:lb])) >= min(ka, kb)
-        apart = sum(int(np.bitwise_count(c.view(np.uint64)[0] ^ c.view(np.uint64)[1])) for c in shingle_join.parities([x, y]))
+        apart = sum(int(np.bitwise_count(c.view(np.uint64)[0] ^ c.view(np.uint64)[1])) for c in shingle_join.parities([wide(x), wide(y)]))
         assert apart <= len(np.setxor1d(x, y))
 
 
-def test_met_over_any_batches():
+@pytest.mark.parametrize("stretch", [1, 30, 1000])
+def test_leaders_over_any_stretches_and_batches(stretch):
+    """Every row of a key that several rows have comes out once, and leads from row to row end at one leader of the key."""
     rng = np.random.default_rng(4)
-    key = np.sort(rng.integers(0, 40, 300))
-    columns = [key, np.arange(300), np.full(300, 9), np.arange(300), np.full(300, 1)]
-    rows = list(zip(*[c.tolist() for c in columns], strict=True))
-    first, count = {}, collections.Counter(key.tolist())
-    for r in rows:
-        first.setdefault(r[0], r[1])
-    want = [(r[0], r[1], first[r[0]]) for r in rows if count[r[0]] > 1]
+    key, common = rng.integers(0, 40, 300), rng.integers(0, 5, 300) / 4
+    rows = {"key": key, "doc": np.arange(300), "n": np.full(300, 9), "pos": np.arange(300), "least": np.full(300, 1), "common": common}
+    parts = pa.Table.from_batches([shingle_join._with_leaders({c: x[k : k + stretch] for c, x in rows.items()}) for k in range(0, 300, stretch)])
+    dealt = parts.append_column("down", pc.negate(parts["common"])).sort_by([("key", "ascending"), ("down", "ascending"), ("doc", "ascending")]).drop_columns("down").combine_chunks()
+    count = collections.Counter(key.tolist())
     for size in (1, 2, 3, 17, 300):
-        batches = [pa.RecordBatch.from_arrays([pa.array(c[k : k + size]) for c in columns], names=["key", "doc", "n", "pos", "least"]) for k in range(0, 300, size)]
-        got = [(r["key"], r["doc"], r["lead"]) for b in shingle_join._met(iter(batches)) for r in b.to_pylist()]
-        assert got == want
+        batches = [dealt.slice(k, size).combine_chunks().to_batches()[0] for k in range(0, 300, size)]
+        got = [r for b in shingle_join._met(iter(batches)) for r in b.to_pylist()]
+        assert sorted(r["doc"] for r in got) == [i for i in range(300) if count[int(key[i])] > 1]
+        lead = {r["doc"]: r["lead"] for r in got}
+        for r in got:
+            assert key[r["lead"]] == r["key"] and r["lead_pos"] == r["lead"]
+            top = lead[r["lead"]]
+            assert lead[top] == top and common[top] == max(common[key == r["key"]])
+
+
+def test_components_of_many_equal_and_near_copies_over_small_stretches(spark, monkeypatch):
+    monkeypatch.setattr(shingle_join, "HELD_PREFIXES", 40)
+    rng = random.Random(11)
+    base = [f"v{k}" for k in range(80)]
+    rows = [(k, " ".join(base)) for k in range(30)] + [(100 + k, " ".join(edited(rng, base, 1))) for k in range(40)] + [(200 + k, " ".join(edited(rng, base, 20))) for k in range(10)]
+    compare(spark, rows)
 
 
 def test_connected(spark):

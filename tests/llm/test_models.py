@@ -44,7 +44,7 @@ def brute_bits(text, sample, order):
 
 def test_code_lengths_follow_the_definition():
     samples = {"a": ["hello world the", "abc Ab"], "b": ["hola mundo el", "xyz", "ñandú"]}
-    trees = ppm_language.ContextTrees(samples)
+    trees = ppm_language.ContextTrees.of_texts(samples)
     texts = ["hello mundo", "zzz qq é", "", "abcabc", "ñ" * 30, "the " * 50]
     got = trees.code_lengths(pa.array([*texts, None]))
     want = [[brute_bits(t, samples[k], ppm_language.ORDER) for k in "ab"] for t in [*texts, ""]]
@@ -52,7 +52,7 @@ def test_code_lengths_follow_the_definition():
 
 
 def test_code_lengths_do_not_depend_on_pieces(monkeypatch):
-    trees = ppm_language.ContextTrees({"a": ["some sample text of a few words"]})
+    trees = ppm_language.ContextTrees.of_texts({"a": ["some sample text of a few words"]})
     texts = pa.array(["some text", "of words " * 40, "other"])
     whole = trees.code_lengths(texts)
     monkeypatch.setattr(ppm_language, "PIECE", 7)
