@@ -24,7 +24,7 @@ from codexflow.llm import shared
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 SAMPLE = 16
 IN_WORD = np.zeros(256, bool)
 IN_WORD[0x30:0x3A] = IN_WORD[0x61:0x7B] = IN_WORD[0x80:] = True

@@ -54,6 +54,17 @@ def removed(spark: SparkSession, *where: str) -> None:
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def give_back(spark: SparkSession) -> None:
+    """Has each executor collect its garbage and return unused heap to the system.
+
+    Python workers share an executor's memory with its JVM, which keeps a heap that large shuffles have grown. One short task
+    goes to each executor; one that is busy or missed only stays as it is.
+    """
+    executors = max(1, spark.sparkContext._jsc.sc().getExecutorMemoryStatus().size() - 1)
+    collected = spark.range(0, executors, 1, executors).select(F.java_method(F.lit("java.lang.System"), F.lit("gc")))
+    collected.write.format("noop").mode("overwrite").save()
+
+
 def small(table: DataFrame, columns: int = 1) -> DataFrame:
     """A stored table of numbers, to be broadcast if its count allows it (BROADCAST_MOST numbers in all), else as it is."""
     return F.broadcast(table) if table.count() * columns <= BROADCAST_MOST else table
