@@ -16,7 +16,7 @@ from codexflow.llm import exact_dedup, fm_decontam, ppm_language, sentencepiece_
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has no letter (or is null) are ``und`` and go."""
+    """Documents go that language identification rejects: those without a letter, and those no learned language's tree codes in fewer bits than they have."""
     return ppm_language.keep_identified(docs)
 
 
@@ -27,16 +27,19 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of documents that share 80 % of their five-word shingles the smallest id stays."""
+    shared.give_back(spark)
     return shingle_join.keep_smallest(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a window of ten words of a benchmark item occurs go."""
+    shared.give_back(spark)
     return fm_decontam.remove_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document that is left."""
+    shared.give_back(spark)
     return sentencepiece_bpe.encode_and_decode(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
