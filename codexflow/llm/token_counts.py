@@ -12,6 +12,7 @@ from importlib.metadata import version
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,20 +46,30 @@ def counter(path: str):
     return lambda texts: [len(x.ids) for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+LOCAL = "doc_id long, n_bytes long, local long, content_sha256 binary, content binary"
+
+
 def _distinct_locally(batches):
-    """Each text once per task's chunk, with its digest; texts travel compressed."""
-    pack, held = zstandard.ZstdCompressor(level=1).compress, set()
+    """A row for each document; the first row of each text within a task's stretch also carries its digest and content, compressed."""
+    pack, held = zstandard.ZstdCompressor(level=1).compress, {}
+    task, serial = TaskContext.get().partitionId() << 40, 0
     for batch in shared.chunks(batches):
-        digests, content = [], []
+        local, digests, content, sizes = [], [], [], []
         for text in pc.cast(pc.fill_null(batch.column("text"), ""), pa.binary()).to_pylist():
             digest = hashlib.sha256(text).digest()
-            if digest not in held:
-                held.add(digest)
-                digests.append(digest)
-                content.append(pack(text))
+            first = digest not in held
+            if first:
+                held[digest] = task + serial
+                serial += 1
+            local.append(held[digest])
+            sizes.append(len(text))
+            digests.append(digest if first else None)
+            content.append(pack(text) if first else None)
         if len(held) > 500_000:
             held.clear()
-        yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(content, pa.binary())], names=["content_sha256", "content"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(local, pa.int64()), pa.array(digests, pa.binary()), pa.array(content, pa.binary())], names=["doc_id", "n_bytes", "local", "content_sha256", "content"]
+        )
 
 
 def _encode(path: str, tokenizer: str):
@@ -93,10 +104,11 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None =
         stored = spark.read.schema(CACHE).parquet(cache_path).where(F.col("tokenizer_sha256") == tokenizer)
         return stored.groupBy("content_sha256").agg(F.max("n_tokens").alias("n_tokens"))
 
-    texts = docs.mapInArrow(_distinct_locally, "content_sha256 binary, content binary")
-    misses = texts.join(cached().select("content_sha256"), "content_sha256", "left_anti").dropDuplicates(["content_sha256"])
+    # a text that a third of all rows share meets the digest join as one row for each task, and its own task's rows after that
+    rows = shared.stored(docs.mapInArrow(_distinct_locally, LOCAL), f"{shared.shared_dir(spark)}/rows", compression="uncompressed")
+    texts = rows.where(F.col("content").isNotNull()).select("local", "content_sha256", "content")
+    misses = texts.select("content_sha256", "content").join(cached().select("content_sha256"), "content_sha256", "left_anti").dropDuplicates(["content_sha256"])
     misses.mapInArrow(_encode(tokenizer_path, tokenizer), CACHE).write.mode("append").parquet(cache_path)
 
-    text = shared.text_of()
-    rows = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.unhex(F.sha2(text, 256)).alias("content_sha256"))
-    return rows.join(cached(), "content_sha256").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    counts = texts.select("local", "content_sha256").join(cached(), "content_sha256").select("local", "n_tokens")
+    return rows.select("doc_id", "n_bytes", "local").join(counts, "local").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
