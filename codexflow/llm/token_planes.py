@@ -36,143 +36,32 @@ MAGIC, HEAD = b"CFTP", "<4sBBHIQQ"
 HEAD_SIZE = struct.calcsize(HEAD)
 BLOCK = 1 << 16
 CONTAINER = 1 << 20
+BATCH_TEXTS = 200
+GROUP = 1000  # shards that are summed up together
 FILES = "shard int, container int, body binary"
 
 
-VISIBLE = np.zeros(256, bool)
-VISIBLE[0x21:0x7F] = True
-FOLLOWS = VISIBLE.copy()  # begins a visible character; the leads of characters that may be white space are left out
-FOLLOWS[0xC3:] = True
-FOLLOWS[[0xE1, 0xE2, 0xE3]] = False
-LETTER = np.zeros(256, bool)
-LETTER[0x41:0x5B] = LETTER[0x61:0x7B] = True
-MARK = VISIBLE & ~LETTER
-MARK[0x30:0x3A] = False
+def encoder(path: str):
+    """A function from an array of texts to all their ids end to end, and the number of ids of each.
 
+    The tokenizers library encodes each whole text; equal texts of an array are encoded once.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
 
-def split_units(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """Cuts texts at places where the byte-level pattern begins a token whatever stands around them.
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
 
-    Such places are: before a single space that precedes a visible character; between a letter (ASCII or Latin-1) and
-    ASCII punctuation; and on both sides of a line break between visible characters. Returns all units and the number of
-    units of each text.
-    """
-    data, offsets = shared.flat(texts)
-    n = len(data)
-    begins = np.zeros(n + 1, bool)
-    if n:
-        now, before, after = data, np.concatenate([[0], data[:-1]]).astype(np.uint8), np.concatenate([data[1:], [0]]).astype(np.uint8)
-        before[np.minimum(offsets[:-1], n - 1)] = 0
-        after[np.maximum(offsets[1:] - 1, 0)] = 0
-        follows = FOLLOWS[now]
-        letter = LETTER[now]
-        letter[1:] |= (before[1:] == 0xC3) & (now[1:] >= 0x80) & (now[1:] != 0x97) & (now[1:] != 0xB7)
-        line = (now == 0x0A) & (VISIBLE[before] | (before >= 0x80)) & FOLLOWS[after]
-        # a byte from 0x80 on before a line break may end a white-space character; then only the cut after it is unsure
-        line &= ~((before >= 0x80) & ~np.concatenate([[False], letter[:-1]]))
-        begins[:n] = (now == 0x20) & FOLLOWS[after]
-        begins[:n] |= line
-        begins[1:n] |= line[:-1]
-        begins[1:n] |= letter[:-1] & MARK[now[1:]] & follows[1:]
-        begins[offsets] = True
-    at = np.flatnonzero(begins)
-    counts = np.diff(np.searchsorted(at[:-1], offsets)) if len(at) else np.zeros(len(texts), np.int64)
-    return pa.Array.from_buffers(pa.large_binary(), max(0, len(at) - 1), [None, pa.py_buffer((at if len(at) else np.zeros(1)).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]), counts
-
-
-class Encoder:
-    """Encodes whole texts with the tokenizers library; each distinct unit of a batch is encoded once.
-
-    Distinct units are encoded end to end, many at once, where the pattern parts them; the byte lengths of the tokens tell
-    them apart. Texts that hold the string of an added token go to the library as they are.
-    """
+    def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        coded = pc.fill_null(texts, "").dictionary_encode()
+        kinds, parts = coded.dictionary.to_pylist(), []
+        for at in range(0, len(kinds), BATCH_TEXTS):
+            parts += [np.array(x.ids, np.uint32) for x in tokenizer.encode_batch_fast(kinds[at : at + BATCH_TEXTS], add_special_tokens=False)]
+        own = [parts[k] for k in coded.indices.to_pylist()]
+        return np.concatenate([np.zeros(0, np.uint32), *own]), np.array([len(x) for x in own], np.int64)
 
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        kind = self.tokenizer.pre_tokenizer
-        if type(kind).__name__ != "ByteLevel" or kind.add_prefix_space or self.tokenizer.normalizer is not None:
-            raise ValueError("only a byte-level pattern without prefix space or normaliser can be encoded by units")
-        self.added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
-        self.bytes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
-        for token, i in self.tokenizer.get_vocab().items():
-            self.bytes[i] = len(token)  # the byte-level alphabet has a character for each byte
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _joined(self, units: pa.Array, between: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of units put together with ``between`` after each; where each unit's ids begin, and their number."""
-        data, size = units.buffers()[2], pc.binary_length(units).to_numpy(zero_copy_only=False).astype(np.int64)
-        raw = np.frombuffer(data, np.uint8, int(size.sum()), np.frombuffer(units.buffers()[1], np.int64)[units.offset])
-        ends = np.cumsum(size)
-        if between:
-            raw = np.insert(raw, ends, between[0])
-        begins = ends - size + len(between) * np.arange(len(size))
-        cuts = np.append(begins, len(raw))
-        texts = [raw[cuts[k] : cuts[min(k + 2000, len(size))]].tobytes().decode() for k in range(0, len(size), 2000)]
-        ids = np.concatenate([np.array(x, np.uint32) for x in self._encode(texts)])
-        places = np.concatenate([[0], np.cumsum(self.bytes[ids])])
-        first = np.searchsorted(places, begins)
-        return ids, first, np.searchsorted(places, begins + size) - first
-
-    def _distinct(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all distinct units; where each unit's ids begin, and their number."""
-        offsets = np.frombuffer(units.buffers()[1], np.int64, len(units) + 1, units.offset * 8)
-        data = np.frombuffer(units.buffers()[2], np.uint8)
-        size = np.diff(offsets)
-        first, last = data[offsets[:-1]], data[offsets[1:] - 1]
-        second = np.where(size > 1, data[np.minimum(offsets[:-1] + 1, len(data) - 1)], 0)
-        spaced = (first == 0x20) & FOLLOWS[second]  # such a unit can follow any other
-        plain = ~spaced & FOLLOWS[first] & VISIBLE[last]  # such a unit can stand between line breaks
-        begin, count, ids, held = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64), [np.zeros(0, np.uint32)], 0
-        for chosen, between in ((spaced, b""), (plain, b"\n")):
-            at = np.flatnonzero(chosen)
-            if len(at):
-                got, b, n = self._joined(units.take(pa.array(at)), between)
-                begin[at], count[at] = b + held, n
-                ids.append(got)
-                held += len(got)
-        at = np.flatnonzero(~(spaced | plain))
-        if len(at):
-            got = self._encode([u.decode() for u in units.take(pa.array(at)).to_pylist()])
-            n = np.fromiter(map(len, got), np.int64, len(got))
-            begin[at], count[at] = np.cumsum(n) - n + held, n
-            ids.append(np.fromiter((i for x in got for i in x), np.uint32, int(n.sum())))
-        return np.concatenate(ids), begin, count
-
-    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts end to end, and the number of ids of each."""
-        texts = pc.fill_null(texts, "")
-        whole = np.zeros(len(texts), bool)
-        for content in self.added:
-            whole |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
-        if whole.any():
-            held = np.flatnonzero(whole)
-            ids, counts = self(pc.if_else(pa.array(whole), pa.scalar("", texts.type), texts))
-            parts = np.split(ids, np.cumsum(counts)[:-1])
-            for i, own in zip(held.tolist(), self._encode(texts.take(pa.array(held)).to_pylist()), strict=True):
-                parts[i], counts[i] = np.array(own, np.uint32), len(own)
-            return np.concatenate(parts), counts
-        units, counts = split_units(texts)
-        if not len(units):
-            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        coded = units.dictionary_encode()
-        ids, begin, size = self._distinct(coded.dictionary)
-        codes = coded.indices.to_numpy(zero_copy_only=False)
-        begin, size = begin[codes], size[codes]
-        of_text = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(counts)])]
-        return _gathered(ids, begin, size), np.diff(of_text)
-
-
-def _gathered(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The stretches of ``values`` that start at ``begin`` and have ``size``, end to end."""
-    ends = np.cumsum(size)
-    return values[np.repeat(begin - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+    return encode
 
 
 def packed(doc_ids: list, sizes: list[int], ids: np.ndarray, kind: int = 1, block: int = BLOCK, level: int = 3) -> bytes:
@@ -236,15 +125,15 @@ def write(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 2, id_c
     """
 
     def encode(batches):
-        shard, serial, encoder = TaskContext.get().partitionId(), 0, Encoder(tokenizer_path)
+        shard, serial, encode_texts = TaskContext.get().partitionId(), 0, encoder(tokenizer_path)
         doc_ids, sizes, parts, held = [], [], [], 0
 
         def flushed():
             body = packed(doc_ids, sizes, np.concatenate(parts), kind)
             return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([serial], pa.int32()), pa.array([body], pa.binary())], names=["shard", "container", "body"])
 
-        for batch in shared.chunks(batches, limit=12 << 20):
-            ids, counts = encoder(batch.column("text"))
+        for batch in shared.chunks(batches):
+            ids, counts = encode_texts(batch.column("text"))
             ends = np.cumsum(counts)
             parts.append(np.insert(ids, ends, end_id))
             doc_ids += batch.column("doc_id").to_pylist()
@@ -260,7 +149,8 @@ def write(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 2, id_c
     parts = shared.partitions_for(docs, text_col)
     docs = shared.id_and_text(docs, id_col, text_col)
     if parts > 1:
-        docs = docs.repartitionByRange(parts, F.col("doc_id").asc_nulls_first())
+        # an id that a third of all rows share is cut by text, and equal rows by where they are read
+        docs = docs.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.spark_partition_id())
     else:
         docs = docs.coalesce(1)
     ordered = docs.sortWithinPartitions(F.col("doc_id").asc_nulls_first())
@@ -291,9 +181,13 @@ def read_documents(spark, path: str, with_ids: bool = False) -> DataFrame:
     files = spark.read.schema(FILES).parquet(path)
     heads = files.select("shard", "container", F.substring("body", 1, HEAD_SIZE).alias("head"))
     sizes = heads.mapInArrow(totals, "shard int, container int, n long")
-    # ids before a container: those of earlier shards, summed over one row for each shard, and of its own shard
-    shards = sizes.groupBy("shard").agg(F.sum("n").alias("n")).select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("before"))
-    inside = Window.partitionBy("shard").orderBy("container")
-    bases = sizes.join(shards, "shard").select("shard", "container", (F.col("before") + F.sum("n").over(inside) - F.col("n")).alias("base"))
+    # ids before a container: those of earlier groups of shards, one row for each group, of earlier shards of its group, and of its shard
+    group = F.floor(F.col("shard") / GROUP).alias("group")
+    shards = sizes.groupBy(group, "shard").agg(F.sum("n").alias("n"))
+    groups = shards.groupBy("group").agg(F.sum("n").alias("n")).select("group", (F.sum("n").over(Window.orderBy("group")) - F.col("n")).alias("earlier"))
+    inside = Window.partitionBy("group").orderBy("shard")
+    shards = shards.withColumn("before", F.sum("n").over(inside) - F.col("n")).join(groups, "group").select("shard", (F.col("earlier") + F.col("before")).alias("before"))
+    own = Window.partitionBy("shard").orderBy("container")
+    bases = sizes.join(shards, "shard").select("shard", "container", (F.col("before") + F.sum("n").over(own) - F.col("n")).alias("base"))
     rows = files.mapInArrow(decode, "doc_id long, shard int, container int, begin long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids)
     return rows.join(bases, ["shard", "container"]).select("doc_id", (F.col("base") + F.col("begin")).alias("start"), "n_tokens", "ids_crc32", *["ids"] * with_ids)

@@ -22,9 +22,10 @@ def odd_texts(n=3000, seed=5):
     return fixed + ["".join(rng.choice(ALPHABET) for _ in range(rng.randint(0, 80))) for _ in range(n)]
 
 
-def test_units_encode_as_whole_texts():
-    texts = odd_texts()
-    ids, counts = token_planes.Encoder(BPE)(pa.array([*texts, None]))
+def test_texts_encode_whole():
+    texts = odd_texts(500)
+    texts += texts[:9]
+    ids, counts = token_planes.encoder(BPE)(pa.array([*texts, None]))
     own = np.split(ids, np.cumsum(counts)[:-1])
     want = Tokenizer.from_file(BPE).encode_batch([*texts, ""], add_special_tokens=False)
     assert [x.tolist() for x in own] == [x.ids for x in want]
@@ -48,6 +49,8 @@ def test_a_foreign_file_is_refused():
 @pytest.mark.parametrize("kind", [1, 8])
 def test_planes_hold_every_document_in_order(spark, kind, monkeypatch):
     monkeypatch.setattr(token_planes, "CONTAINER", 2000)
+    monkeypatch.setattr(token_planes, "GROUP", 2)
+    monkeypatch.setattr(shared.partitions_for, "__defaults__", (30_000,))
     path = shared.shared_dir(spark) + "/planes"
     token_planes.write(cases.frame(spark), BPE, path, kind=kind)
     got = token_planes.read_documents(spark, path, with_ids=True).orderBy("start").collect()
