@@ -25,7 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codexflow.llm import shared
@@ -420,11 +420,11 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     tokens = chunks.where(F.col("token").isNotNull())
     bodies = chunks.where(F.col("body").isNotNull())
     end_count = bodies.agg(F.sum("n")).first()[0] or 0
-    trained = tokens.where("n > 0")
-    n_words = trained.agg(F.sum("n")).first()[0] or 0
-    distinct = trained.select("token").distinct().count() + (end_count > 0)
-    n_train = n_words + end_count
-    counts = tokens.select("chunk", "code", F.sum("n").over(Window.partitionBy("token")).alias("c"))
+    # a token that all chunks hold is summed up within tasks first; the sums are joined back, and a hot token can be split there
+    totals = shared.stored(tokens.groupBy("token").agg(F.sum("n").alias("c")), f"{where}/totals")
+    n_words, distinct = totals.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
+    n_train, distinct = (n_words or 0) + end_count, distinct + (end_count > 0)
+    counts = tokens.select("chunk", "code", "token").join(totals, "token").select(F.col("chunk").alias("chunk"), "code", "c")
     salts = max(1, math.ceil(bodies.count() / SALT_CHUNKS))
     copies = tree.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     asked = chunks.where(F.col("grams").isNotNull()).select("bucket", F.pmod(F.hash("chunk"), F.lit(salts)).alias("salt"), "chunk", "grams")
