@@ -2,8 +2,8 @@
 
 A document's strength is a weighted sum of features of its text. Of a pair of labelled documents, one of label 1 and one
 of label 0, the first is preferred; the weights minimise the logistic loss of the pairs' feature differences. Documents
-are then parted at a quantile of the strengths, the one that parts the labels of the fitted sample best, and strengths
-are mapped to scores so that this quantile is the cut at 0.7.
+are then parted at a quantile: which one, the labels of the fitted sample say, where they part best; its value is taken over
+the strengths of all documents, in steps of STEP, and strengths are mapped to scores so that it is the cut at 0.7.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from codexflow.llm import shared
 
 CUT = 0.7
+STEP, STEPS_MOST = 1e-3, 50_000  # strengths are counted in steps, those beyond the last together
 HINGES = 6
 FEATURES = [
     "log_words", "word_bytes", "symbols", "stops", "digits", "capitals", "spaces", "distinct", "repeats", "bare", "tripled", "letterless",
@@ -114,7 +115,7 @@ class Ranking:
         rng = np.random.default_rng(seed)
         better, worse = np.flatnonzero(labels == 1), np.flatnonzero(labels == 0)
         self.weights = np.zeros(wide.shape[1])
-        self.at, self.slope = 0.0, 1.0
+        self.at, self.slope, self.share, self.known = 0.0, 1.0, 0.0, len(better) > 0 and len(worse) > 0
         if not len(better) or not len(worse):
             return
         # each document of the rarer label stands in as many pairs as the others of it
@@ -136,6 +137,7 @@ class Ranking:
         quantiles = np.quantile(strength, np.linspace(0.0005, 0.9995, 1999))
         parted = [((strength[better] >= q).mean() + (strength[worse] < q).mean()) for q in quantiles]
         self.at = float(quantiles[int(np.argmax(parted))])
+        self.share = float((strength < self.at).mean())  # of the sample below the cut
         self.slope = float(1 / max(1e-6, np.std(strength)))
 
     def _expanded(self, rows: np.ndarray) -> np.ndarray:
@@ -144,9 +146,16 @@ class Ranking:
     def strength(self, rows: np.ndarray) -> np.ndarray:
         return (self._expanded(rows) - self.mean) / self.scale @ self.weights
 
-    def score(self, rows: np.ndarray) -> np.ndarray:
-        """Scores in 0..1; at least CUT exactly where the strength is at least the chosen quantile."""
-        strength = self.strength(rows)
+    def placed(self, steps: np.ndarray, counts: np.ndarray) -> None:
+        """Takes the cut's value from counts of all documents' strengths by step (ascending)."""
+        if len(steps) and self.known:
+            below = np.cumsum(counts)
+            self.at = float(steps[min(int(np.searchsorted(below, self.share * below[-1], side="right")), len(steps) - 1)]) * STEP
+
+    def score(self, strength: np.ndarray) -> np.ndarray:
+        """Scores in 0..1; at least CUT exactly where the strength is at least the cut's. Without a ranking all are 0.5."""
+        if not self.known:
+            return np.full(len(strength), 0.5)
         z = np.clip((strength - self.at) * self.slope * 2 + np.log(CUT / (1 - CUT)), -40, 40)
         score = 1 / (1 + np.exp(-z))
         return np.where(strength >= self.at, np.maximum(score, CUT), np.minimum(score, np.nextafter(CUT, 0)))
@@ -155,37 +164,44 @@ class Ranking:
 def _featured(batches):
     for batch in shared.chunks(batches):
         rows = features(batch.column("text"))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.FixedSizeListArray.from_arrays(pa.array(rows.ravel()), len(FEATURES)).cast(pa.list_(pa.float64()))], names=["doc_id", "features"])
+        yield pa.RecordBatch.from_arrays([batch.column("label"), pa.FixedSizeListArray.from_arrays(pa.array(rows.ravel()), len(FEATURES)).cast(pa.list_(pa.float64()))], names=["label", "features"])
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", fit_rows: int = 20_000) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row of ``docs``: ``predicted`` is 1 if ``score >= 0.7``.
 
-    Rows whose crc32(doc_id) mod 4 is 2 are held out, as are null ids; the ranking is fitted to about ``fit_rows`` of the
-    other labelled rows at most, taken by a hash of the id. Labels other than 0 and 1 are passed over. Null texts count as
-    empty. Repeated rows give a row each. Without labels of both kinds every score is 0.7. Features are of whole texts.
+    Rows whose crc32(doc_id) mod 4 is 2 are held out, as are null ids; the ranking is fitted to at most ``fit_rows`` of the
+    other labelled rows, the first by a hash of the id. Labels other than 0 and 1 are passed over. Null texts count as empty.
+    Repeated rows give a row each. Without labels of both kinds every score is 0.5, and nothing is predicted to be good.
+    Features are of whole texts.
     """
     spark = docs.sparkSession
     held = F.coalesce(shared.crc_mod("doc_id", 4) == 2, F.lit(True))
-    rows = shared.stored(shared.id_and_text(docs, id_col, text_col).mapInArrow(_featured, "doc_id long, features array<double>"), f"{shared.shared_dir(spark)}/features")
+    texts = shared.id_and_text(docs, id_col, text_col)
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).where("label IN (0, 1)").where(~held)
-    n = known.count()
-    drawn = known.where(F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(1_000_000)) < 1_000_000 * min(1.0, fit_rows / max(1, n)))
-    sample = rows.join(drawn, "doc_id").select("features", "label").limit(2 * fit_rows).toArrow()
-    table = np.array(sample.column("features").to_pylist(), float).reshape(-1, len(FEATURES))
-    label = sample.column("label").to_numpy()
-    if len(table):
-        order = np.lexsort([*table.T, label])  # the same rows in whatever order they came give the same ranking
-        table, label = table[order], label[order]
-    else:
-        table, label = np.zeros((1, len(FEATURES))), np.zeros(1)
-    ranking = spark.sparkContext.broadcast(Ranking(table, label))
+    draw = F.xxhash64("doc_id", F.lit(23))
+    drawn = known.distinct().orderBy(draw, "doc_id", "label").limit(fit_rows)  # which bounds the broadcast
+    fit = texts.join(F.broadcast(drawn), "doc_id").orderBy(draw, "doc_id", "label", F.xxhash64("text")).limit(fit_rows).select("doc_id", "label", "text")
+    sample = fit.mapInArrow(_featured, "label int, features array<double>").toArrow()  # at most fit_rows rows, in the order of the draw
+    table = sample.column("features").combine_chunks().flatten().to_numpy().reshape(-1, len(FEATURES)) if sample.num_rows else np.zeros((1, len(FEATURES)))
+    label = sample.column("label").to_numpy() if sample.num_rows else np.zeros(1)
+    ranking = Ranking(table, label)
+    del sample, table, label
+    fitted = spark.sparkContext.broadcast(ranking)
+
+    def measure(batches):
+        for batch in shared.chunks(batches):
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fitted.value.strength(features(batch.column("text"))))], names=["doc_id", "strength"])
+
+    rows = shared.stored(texts.mapInArrow(measure, "doc_id long, strength double"), f"{shared.shared_dir(spark)}/strengths")
+    step = F.least(F.greatest(F.floor(F.col("strength") / STEP), F.lit(-STEPS_MOST)), F.lit(STEPS_MOST))
+    steps = rows.groupBy(step.alias("step")).count().orderBy("step").toArrow()  # at most 2 * STEPS_MOST + 1 rows
+    ranking.placed(steps.column("step").to_numpy(), steps.column("count").to_numpy())
+    placed = spark.sparkContext.broadcast(ranking)
 
     def run(batches):
         for batch in batches:
-            if batch.num_rows:
-                x = np.array(batch.column("features").flatten()).reshape(-1, len(FEATURES))
-                score = ranking.value.score(x)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score), pa.array((score >= CUT).astype(np.int32))], names=["doc_id", "score", "predicted"])
+            score = placed.value.score(batch.column("strength").to_numpy())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score), pa.array((score >= CUT).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
     return rows.mapInArrow(run, "doc_id long, score double, predicted int").select("doc_id", held.alias("held_out"), "score", "predicted")
