@@ -92,8 +92,8 @@ class Ordinal:
 
     def above(self, bounds: np.ndarray, features: np.ndarray) -> np.ndarray:
         """P(grade > k) for each row and threshold."""
-        total = np.concatenate([[0], np.cumsum(self.weights[features])])
-        z = total[bounds[1:]] - total[bounds[:-1]]
+        n = len(bounds) - 1
+        z = np.bincount(np.repeat(np.arange(n), np.diff(bounds)), self.weights[features], n)  # a row's own sum, whatever its batch
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - z[:, None], -40, 40)))
 
 
@@ -108,12 +108,12 @@ def grades_of(bounds: np.ndarray, features: np.ndarray, toxic: np.ndarray) -> np
     return np.where(toxic == 1, 1 + (held > cuts[0]) + (held > cuts[1]), 0).astype(np.int64)
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", fit_rows: int = 12_000, longest: int = 1 << 16, flag_from: float = 0.35) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", fit_rows: int = 12_000, flag_from: float = 0.35) -> DataFrame:
     """``doc_id, held_out, grade, expected_severity, p_toxic, toxic`` for every row of ``docs``.
 
     ``expected_severity`` lies between 0 and 3, ``grade`` is the most probable grade, ``p_toxic`` is P(grade > 0) and
     ``toxic`` is ``p_toxic >= flag_from``. Rows whose crc32(doc_id) mod 4 is 2 are held out, as are null ids; the model is
-    fitted to at most about ``fit_rows`` of the other labelled texts, whole, of up to ``longest`` bytes, taken by a hash of the id.
+    fitted to at most ``fit_rows`` of the other labelled texts, whole, the first by a hash of id and text.
     Every row is scored on its whole text. Null and empty texts have no features. Repeated rows give a row each; labels
     other than 0 and 1 are passed over; without labels nothing is toxic.
     """
@@ -121,9 +121,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic",
     docs = shared.id_and_text(docs, id_col, text_col)
     held = F.coalesce(shared.crc_mod("doc_id", 4) == 2, F.lit(True))
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).where("label IN (0, 1)").where(~held)
-    drawn = known.where(F.pmod(F.xxhash64("doc_id", F.lit(31)), F.lit(1_000_000)) < 1_000_000 * min(1.0, fit_rows / max(1, known.count()))).distinct().limit(2 * fit_rows)
-    # the drawn labels number at most 2 * fit_rows, which bounds the broadcast
-    fit = docs.where(F.octet_length("text") <= longest).join(F.broadcast(drawn), "doc_id").select("doc_id", "label", "text")
+    drawn = known.distinct().orderBy(F.xxhash64("doc_id", F.lit(31)), "doc_id", "label").limit(fit_rows)  # which bounds the broadcast
+    fit = docs.join(F.broadcast(drawn), "doc_id").orderBy(F.xxhash64("doc_id", F.lit(31)), "doc_id", "label", F.xxhash64("text")).limit(fit_rows).select("doc_id", "label", "text")
 
     def read(batches):
         for batch in shared.chunks(batches):
@@ -134,7 +133,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic",
                 names=["doc_id", "label", "features"],
             )
 
-    sample = fit.mapInArrow(read, "doc_id long, label int, features array<int>").toArrow().sort_by("doc_id").combine_chunks()
+    sample = fit.mapInArrow(read, "doc_id long, label int, features array<int>").toArrow()  # at most fit_rows rows, in the order of the draw
     lists = sample.column("features").combine_chunks() if sample.num_rows else pa.array([], pa.list_(pa.int32()))
     bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)
     flat = lists.flatten().to_numpy().astype(np.int64)

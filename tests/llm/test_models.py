@@ -178,6 +178,63 @@ def test_buckets_give_the_scores_of_one_tree(spark, monkeypatch):
     assert np.allclose([got[i] for i, _ in rows], tree.score(pa.array([t for _, t in rows])), atol=1e-3)
 
 
+def brute_scores(rows, penalty=0.1):
+    """The suffix tree straight from its definition: dictionaries of contexts, one symbol at a time."""
+    depth_most, end = suffix_tree_lm.DEPTH, 256
+
+    def symbols(text):
+        return [0x20] * depth_most + [LOW[c] for c in (text or "").encode()] + [end]
+
+    count, positions = collections.defaultdict(collections.Counter), 0
+    for i, t in rows:
+        if i is not None and zlib.crc32(str(i).encode()) % 10:
+            x = symbols(t)
+            for at in range(depth_most, len(x)):
+                positions += 1
+                for d in range(depth_most + 1):
+                    count[tuple(x[at - d : at])][x[at]] += 1
+    candidates = {c: n for c, n in count.items() if sum(n.values()) >= suffix_tree_lm.LEAST_CONTEXT}
+    kept = {c: {s: k for s, k in n.items() if k >= suffix_tree_lm.LEAST_SYMBOL} for c, n in candidates.items()}
+
+    def spare(c):
+        return len(candidates[c]) + sum(candidates[c].values()) - sum(kept[c].values())
+
+    def p(c, s, tree):
+        """Of symbol s in the longest suffix of c within ``tree``."""
+        while c and c not in tree:
+            c = c[1:]
+        if c not in tree:
+            return 1 / 257
+        own, rest = kept[c].get(s), spare(c)
+        whole = sum(kept[c].values()) + rest
+        above = p(c[1:], s, candidates) if c else 1 / 257
+        # a kept symbol's share is smoothed towards the candidate parent's; any other falls back to the retained parent's
+        return (own + rest * above) / whole if own else rest / whole * (p(c[1:], s, tree) if c else 1 / 257)
+
+    charge, tree = penalty * math.log(max(2, positions)), set()
+    for c in sorted(candidates, key=len, reverse=True):
+        total = sum(candidates[c].values())
+        gain = sum(k * math.log(k / total / (p(c[1:], s, candidates) if c else 1 / 257)) for s, k in kept[c].items())
+        if c in tree or not c or gain >= charge * max(1, len(candidates[c]) - 1):
+            tree |= {c[d:] for d in range(len(c) + 1)}
+    out = []
+    for i, t in rows:
+        x = symbols(t)
+        out.append((i, sum(math.log10(p(tuple(x[at - depth_most : at]), x[at], tree)) for at in range(depth_most, len(x)))))
+    return out
+
+
+def test_scores_follow_the_definition(spark, monkeypatch):
+    monkeypatch.setattr(suffix_tree_lm, "BUCKET_GRAMS", 200)
+    monkeypatch.setattr(suffix_tree_lm, "CHUNK", 3000)
+    rng = random.Random(12)
+    rows = [(k, " ".join(rng.choice(cases.WORDS) for _ in range(rng.randint(0, 40)))) for k in range(70)] + [(None, "Öl the RIVER\nzzz"), (500, None), (501, "")]
+    want = brute_scores(rows)
+    got = {(r.doc_id, r.n_tokens): r.score for r in suffix_tree_lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    for (i, t), (_, score) in zip(rows, want, strict=True):
+        assert abs(got[(i, len((t or "").split()) + 1)] - score) < 1e-3 + 1e-5 * abs(score)
+
+
 def test_held_out_scores_beat_the_base(spark):
     got = suffix_tree_lm.score_texts(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).where("held_out").collect()
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
@@ -190,7 +247,7 @@ def test_quality_of_odd_rows(spark):
     got = quality_ranking.score_quality(cases.frame(spark), cases.labels(spark)).collect()
     assert len(got) == len(cases.texts()) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in got)
     none = cases.labels(spark, [])
-    assert {r.predicted for r in quality_ranking.score_quality(cases.frame(spark), none).collect()} == {1}
+    assert {r.predicted for r in quality_ranking.score_quality(cases.frame(spark), none).collect()} == {0}
     assert quality_ranking.score_quality(cases.empty(spark), none).count() == 0
 
 
@@ -208,7 +265,35 @@ def test_ranking_prefers_the_better_of_pairs():
     ranking = quality_ranking.Ranking(rows, label)
     strength = ranking.strength(rows)
     pairs = (strength[label == 1][:, None] > strength[label == 0][None, :]).mean()
-    assert pairs > 0.8 and ((ranking.score(rows) >= 0.7) == (strength >= ranking.at)).all()
+    assert pairs > 0.8 and ((ranking.score(strength) >= 0.7) == (strength >= ranking.at)).all()
+    ranking.placed(np.arange(-5, 5), np.full(10, 7))
+    assert ranking.at == quality_ranking.STEP * (int(10 * ranking.share) - 5)
+
+
+def test_the_ranking_minimises_the_loss_of_differences():
+    """Against plain gradient descent over the same pairs, drawn here by the same rule."""
+    rng = np.random.default_rng(2)
+    label = rng.integers(0, 2, 120)
+    rows = rng.normal(size=(120, 3)) + label[:, None] * [0.4, 0, -0.3]
+    ranking = quality_ranking.Ranking(rows, label, pairs=300, seed=5)
+    wide = (ranking._expanded(rows) - ranking.mean) / ranking.scale
+    rng = np.random.default_rng(5)
+    better, worse = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
+    left = np.resize(rng.permutation(better), 300)
+    right = rng.permutation(np.resize(rng.permutation(worse), 300))
+    apart = wide[left] - wide[right]
+
+    def loss(w):
+        return np.logaddexp(0, -apart @ w).mean() + 1e-3 / 2 * w @ w
+
+    w = np.zeros(wide.shape[1])
+    for _ in range(4000):
+        w -= 0.2 * (-(apart * (1 / (1 + np.exp(apart @ w)))[:, None]).mean(0) + 1e-3 * w)
+    assert loss(ranking.weights) <= loss(w) + 1e-6
+    for k in range(len(w)):
+        step = np.zeros(len(w))
+        step[k] = 1e-3
+        assert loss(ranking.weights) < loss(ranking.weights + step) and loss(ranking.weights) < loss(ranking.weights - step)
 
 
 def test_features_do_not_depend_on_neighbours():
@@ -230,7 +315,36 @@ def test_held_out_toxicity(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     got = toxicity_ordinal.score_toxicity(docs, labels).join(labels.withColumnRenamed("toxic", "is_toxic"), "doc_id").where("held_out").collect()
     caught, wrong = [r.toxic for r in got if r.is_toxic == 1], [r.toxic for r in got if r.is_toxic == 0]
-    assert sum(caught) / len(caught) > 0.85 and sum(wrong) / len(wrong) < 0.02
+    assert sum(caught) / len(caught) > 0.85 and sum(wrong) / len(wrong) < 0.01
+
+
+def test_the_fit_minimises_the_penalised_likelihood():
+    """Likelihood and gradient, written out one row at a time, against the fitted weights and thresholds."""
+    rng = np.random.default_rng(3)
+    n, width = 300, 12
+    held = [np.flatnonzero(rng.random(width) < 0.3) for _ in range(n)]
+    true = rng.normal(size=width) * 1.5
+    grades = np.clip(np.array([sum(rng.logistic() + true[h].sum() > t for t in (0.5, 1.5, 3.0)) for h in held]), 0, 3)
+    bounds, features = np.concatenate([[0], np.cumsum([len(h) for h in held])]), np.concatenate(held)
+    model = toxicity_ordinal.Ordinal(bounds, features, grades, ridge=0.5, steps=6000, rate=0.005, chi_square=-1.0)
+
+    def loss(w, thresholds):
+        total = 0.25 * sum(x * x for x in w)
+        for h, g in zip(held, grades.tolist(), strict=True):
+            z = sum(w[j] for j in h)
+            upto = [0.0, *(1 / (1 + math.exp(z - t)) for t in thresholds), 1.0]
+            total -= math.log(upto[g + 1] - upto[g])
+        return total
+
+    w, t = model.weights[:width], model.thresholds
+    at, e = loss(w, t), 1e-4
+    slopes = [(loss(w + e * np.eye(width)[k], t) - loss(w - e * np.eye(width)[k], t)) / (2 * e) for k in range(width)]
+    slopes += [(loss(w, t + e * np.eye(3)[k]) - loss(w, t - e * np.eye(3)[k])) / (2 * e) for k in range(3)]
+    start = loss(np.zeros(width), t)
+    assert at < start - 20 and max(map(abs, slopes)) < 0.05
+    above = model.above(bounds, features)
+    z = np.array([w[h].sum() for h in held])
+    assert np.allclose(above, 1 / (1 + np.exp(t[None, :] - z[:, None])))
 
 
 def test_thresholds_ascend_and_severity_follows_the_words():
