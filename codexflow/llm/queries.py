@@ -77,6 +77,21 @@ WINDOW g AS (PARTITION BY t)
 """
 
 
+OP6_SQL = rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT r, doc_id, array_to_string(w[i : i + 4], ' ') AS g
+      FROM (SELECT *, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+sizes AS (SELECT r, doc_id, count(*) AS n FROM s GROUP BY r, doc_id),
+shared AS (SELECT a.r AS ra, b.r AS rb, count(*) AS common FROM s a JOIN s b ON a.g = b.g AND a.r < b.r GROUP BY ALL),
+links AS (SELECT x.doc_id AS a, y.doc_id AS b FROM shared JOIN sizes x ON x.r = ra JOIN sizes y ON y.r = rb
+          WHERE 100 * common >= 80 * (x.n + y.n - common) AND x.doc_id <> y.doc_id),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(a, b) AS (SELECT a, b FROM edges UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(least.b, d.doc_id)) AS component_id
+FROM d LEFT JOIN sizes USING (r) LEFT JOIN least ON least.a = d.doc_id
+"""
+
 _W = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 OP8_SQL = f"""
@@ -113,4 +128,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_fm_decontam": OP8_SQL, "op9_exact_dedup": OP9_SQL}
+    return {"op6_shingle_join": OP6_SQL, "op8_fm_decontam": OP8_SQL, "op9_exact_dedup": OP9_SQL}
