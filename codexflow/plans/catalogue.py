@@ -114,8 +114,8 @@ SELECT d AS document_id, line, pages FROM c JOIN s USING (d) WHERE pages >= grea
 def page_margins(spark, d):
     """Each source is a document whose pages bear its name above, and a heading and their language below."""
     text = F.concat(F.lit("Journal of "), "source", F.lit("\n"), "text", F.lit("\nAbstract\n"), "lang")
-    pages = table(spark, d, "documents").select(F.col("source").alias("document_id"), F.col("doc_id").alias("page"), text.alias("text"))
-    return segmentation.margins(segmentation.lines_of(pages))
+    pages = spread(table(spark, d, "documents")).select(F.col("source").alias("document_id"), F.col("doc_id").alias("page"), text.alias("text"))
+    return segmentation.margins(pages)
 
 
 @query("""SELECT doc_id, i AS chunk_no, i * 5800 AS char_start, least(i * 5800 + 6000, length(text)) AS char_end, sha256(substr(text, i * 5800 + 1, 6000)) AS chunk_sha256
@@ -193,10 +193,21 @@ def html_title_meta(spark, d):
     return rows.select("page_id", "title", F.col("n_meta").cast("long").alias("n_meta"), F.col("n_lines").cast("long").alias("n_lines"))
 
 
-@query()
+PAGE_END = ["<p>Authors:</p><i>Ann ", "; Bob;Ann ", "</i><p>Year:</p><p>", "</p><h2>Abstract</h2><p>First &amp;amp; ", '.</p><p>Last.</p><h2>Files</h2><a class=x href="/f', '.PDF">f</a><a href="https://creativecommons.org/licenses/by/4.0/">cc</a>']
+
+
+@query("""SELECT page_id, trim(regexp_replace(replace(replace(string_split(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), ' — ')[1], '&amp;', '&'), '&amp;', '&'), '\\s+', ' ', 'g')) AS title,
+2::BIGINT AS n_fields, 'Ann ' || page_id || '|Bob' AS authors, CAST(page_id AS VARCHAR) AS year, 'First & ' || page_id || '. Last.' AS abstract, '/f' || page_id || '.PDF' AS files, 'open' AS access_guess, 'cc-by' AS licence_class FROM pages""")
 def html_page_records(spark, d):
-    rows = harvest.page_records(spread(table(spark, d, "pages")))
-    return rows.select("url", "title", F.size("fields").alias("n_fields"), F.length("abstract").alias("abstract_chars"), "access_guess", "licence_class")
+    """Each page with a record at its end: labelled lines, an abstract, a file and a licence."""
+    number = F.col("page_id").cast("string")
+    end = F.concat(*[x for k, part in enumerate(PAGE_END) for x in ([F.lit(part)] if k + 1 == len(PAGE_END) else [F.lit(part), number])])
+    rows = harvest.page_records(spread(table(spark, d, "pages")).select(number.alias("url"), F.concat("html", end).alias("html")))
+    fields = F.col("fields")
+    return rows.select(
+        F.col("url").cast("long").alias("page_id"), "title", F.size("fields").cast("long").alias("n_fields"), F.array_join(fields["authors"], "|").alias("authors"), F.array_join(fields["year"], "|").alias("year"), "abstract",
+        F.array_join("file_urls", "|").alias("files"), "access_guess", "licence_class",
+    )
 
 
 @query("""SELECT c_custkey, coalesce(nullif(CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_name END, ''), c_mktsegment) AS source_url, CASE WHEN c_custkey % 5 = 0 THEN 'und' ELSE lower(c_mktsegment) END AS language,
@@ -472,12 +483,17 @@ def sample_allocation(spark, d):
     return profiling.allocate(profiling.histogram(table(spark, d, "documents"), "n_chars", BINS, 1000, "k"), 60)
 
 
-STRATA_SQL = f"""{HISTO_SQL}, s AS (SELECT {BIN_SQL} AS bin, lang AS category, n_chars AS bytes FROM documents WHERE doc_id % 5 = 0),
+STRATA_SQL = f"""{HISTO_SQL}, q AS (SELECT bin, least(files, greatest(5, round_even(60.0::DOUBLE * bytes / (SELECT sum(bytes) FROM h), 0))) AS quota FROM h),
+drawn AS (SELECT {BIN_SQL} AS bin, lang AS category, n_chars AS bytes, row_number() OVER (PARTITION BY {BIN_SQL} ORDER BY md5(doc_id || ':42'), doc_id) AS place FROM documents),
+s AS (SELECT bin, category, drawn.bytes AS bytes FROM drawn JOIN q USING (bin) WHERE place <= quota),
 b AS (SELECT bin, count(*) AS n, sum(bytes) AS sampled FROM s GROUP BY bin)"""
 
 
 def strata_sample(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").where("doc_id % 5 = 0").select(bin_of().alias("bin"), F.col("lang").alias("category"), F.col("n_chars").alias("bytes"))
+    """The files that the allocation draws, categorised by their language."""
+    files = table(spark, d, "documents").select("doc_id", bin_of().alias("bin"), F.col("lang").alias("category"), F.col("n_chars").alias("bytes"))
+    quotas = profiling.allocate(profiling.histogram(table(spark, d, "documents"), "n_chars", BINS, 1000, "k"), 60)
+    return profiling.stratified_sample(files, quotas, "doc_id").select("bin", "category", "bytes")
 
 
 @query(f"""WITH {STRATA_SQL}, c AS (SELECT bin, category, sum(bytes) AS own FROM s GROUP BY bin, category),
@@ -655,9 +671,13 @@ def packed_chunks(spark, d):
     return segmentation.chunks(source_pages(spark, d)).select("document_id", "ordinal", "page_start", "page_end", "content_role", "section_method", F.length("text").alias("chars"), F.size("source_spans").alias("blocks"))
 
 
-@query()
+@query("""WITH p AS (SELECT CAST(conv_id AS VARCHAR) AS id, 'Session ' || conv_id AS head, text, CAST(turn AS VARCHAR) AS foot, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS INTEGER) AS page, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations)
+SELECT id AS document_id, page, 0 AS raw_start, CAST(length(head) + 1 AS INTEGER) AS raw_end, 'repeated_margin' AS reason, head AS text FROM p WHERE n >= 3
+UNION ALL SELECT id, page, CAST(length(head) + length(text) + 2 AS INTEGER), CAST(length(head) + length(text) + 2 + length(foot) AS INTEGER), 'page_number', foot FROM p WHERE foot = CAST(page AS VARCHAR)""")
 def cleanup_audit(spark, d):
-    return segmentation.removed_lines(source_pages(spark, d))
+    """Conversations as documents with their name above and their turn below each page."""
+    pages = source_pages(spark, d).withColumn("text", F.concat(F.lit("Session "), "document_id", F.lit("\n"), "text", F.lit("\n"), F.col("page").cast("string")))
+    return segmentation.removed_lines(pages)
 
 
 @query()
