@@ -138,7 +138,10 @@ def dedup(spark: SparkSession, corpus: str, profile: str | None = None, max_pair
 
 
 def index(spark: SparkSession, corpus: str, destination: str, include_needs_review: bool = False, profile: str | None = None) -> DataFrame:
-    """Writes the indexable chunks with their citations as a new snapshot, and returns the receipt."""
+    """Writes the indexable chunks with their citations, postings and lengths as a new snapshot, and returns the receipt.
+
+    A chunk id with different texts is an error.
+    """
     wanted = ["ready", *(["needs_ocr", "needs_review"] if include_needs_review else [])]
     documents = _read(spark, corpus, "documents").where(F.col("status").isin(*wanted))
     documents = documents.where(F.col("profile") == profile) if profile else retrieval.guard_versions(documents)
@@ -146,12 +149,16 @@ def index(spark: SparkSession, corpus: str, destination: str, include_needs_revi
     cited = bindings.first_path(documents.select("document_id", "profile", "title", "license", "language", "source_url", "status", "quality_tier"), sources)
     rows = _chunks(spark, corpus).join(cited, ["document_id", "profile"]).withColumnRenamed("text", "body")
     good = retrieval.indexable(F.col("page_start"), F.col("quality_flags"), F.col("body"))
-    rows.where(good).write.mode("errorifexists").parquet(destination)
+    texts = _read(spark, corpus, "chunks").groupBy("chunk_id").agg(F.min(F.sha2("text", 256)).alias("low"), F.max(F.sha2("text", 256)).alias("high"))
+    if twice := texts.where("low <> high").first():
+        raise ValueError(f"chunk {twice.chunk_id} has different texts")
+    retrieval.write_index(rows.where(good), destination)
     return retrieval.index_receipt(rows)
 
 
 def search(spark: SparkSession, index: str, query: str, limit: int = 5, license: str | None = None, role: str | None = None) -> DataFrame:
-    return retrieval.search(spark.read.parquet(index), query, limit, license, role)
+    stored = spark.read.parquet(f"{index}/postings"), spark.read.parquet(f"{index}/lengths")
+    return retrieval.search(spark.read.parquet(f"{index}/chunks"), query, limit, license, role, stored=stored)
 
 
 def link(spark: SparkSession, manifest: str, inventory: DataFrame) -> tuple[DataFrame, DataFrame]:

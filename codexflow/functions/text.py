@@ -78,9 +78,20 @@ def content_role(section_path: Column) -> Column:
     return out.when(F.size(section_path) > 0, F.lit("body")).otherwise(F.lit("front_or_unclassified"))
 
 
+def _folded(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFC", t).casefold())
+
+
 def normalized(column: Column) -> Column:
-    """Case-folded text with every run of white space as one space. Compose first where marks may be decomposed."""
-    return F.trim(F.regexp_replace(casefold(F.coalesce(column, F.lit(""))), r"\s+", " "))
+    """Composed, case-folded text with every run of white space as one space.
+
+    Only texts with characters whose composition or folding the JVM's ``lower`` does not give (the micro sign, and all from
+    U+0149 or U+017F on) pass through Python.
+    """
+    text = F.coalesce(column, F.lit(""))
+    odd = text.rlike(r"[\x{B5}\x{149}\x{17F}-\x{10FFFF}]")
+    folded = F.coalesce(F.pandas_udf(_folded, "string")(F.when(odd, text)), casefold(text))
+    return F.trim(F.regexp_replace(folded, r"\s+", " "))
 
 
 def year_of(date: Column, datestamp: Column) -> Column:
@@ -118,7 +129,16 @@ def flat_values(column: Column) -> Column:
     return F.trim(F.regexp_replace(F.array_join(column, " | "), r"\s+", " "))
 
 
+def _marked() -> tuple[str, str]:
+    """Lower-case letters below U+2000 that are a letter with marks, and those letters."""
+    parts = {c: unicodedata.normalize("NFD", c) for c in map(chr, range(0xC0, 0x2000)) if c == c.lower()}
+    marked = {c: d[0] for c, d in parts.items() if len(d) > 1 and all(unicodedata.category(x) == "Mn" for x in d[1:])}
+    return "".join(marked), "".join(marked.values())
+
+
+MARKED, BARE = _marked()
+
+
 def fold_marks(column: Column) -> Column:
-    """Lower case without the diacritics of Latin-1 letters, as index tokens are folded; sharp s stays."""
-    # Accented Latin-1 letters and their bases.
-    return F.translate(F.lower(column), "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy")
+    """Lower case without diacritics, composed or not, as index tokens are folded; sharp s stays."""
+    return F.regexp_replace(F.translate(F.lower(column), MARKED, BARE), r"\p{Mn}+", "")

@@ -56,28 +56,40 @@ def lengths(chunks: DataFrame, parity: bool = False) -> DataFrame:
     return chunks.select("chunk_id", total.cast("long").alias("length"))
 
 
-def scores(chunks: DataFrame, terms: list[str] | DataFrame, parity: bool = False) -> DataFrame:
+def write_index(chunks: DataFrame, destination: str, parity: bool = False) -> None:
+    """Writes chunks, their postings in order of terms, and their lengths, once for all searches, at a new place."""
+    chunks.write.mode("errorifexists").parquet(f"{destination}/chunks")
+    stored = chunks.sparkSession.read.schema(chunks.schema).parquet(f"{destination}/chunks")
+    postings(stored, parity).repartition("term").sortWithinPartitions("term").write.mode("errorifexists").parquet(f"{destination}/postings")
+    lengths(stored, parity).write.mode("errorifexists").parquet(f"{destination}/lengths")
+
+
+def scores(chunks: DataFrame, terms: list[str] | DataFrame, parity: bool = False, stored: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """``chunk_id, score`` (with ``query_id`` for a frame of query_id, term) of all chunks that hold a term in body or helper terms.
 
-    Only postings of the queries' terms are shuffled.
+    Only postings of the queries' terms are shuffled. With ``stored`` postings and lengths no chunk is read, and only the
+    row groups of postings that may hold the terms are.
     """
     spark = chunks.sparkSession
     many = isinstance(terms, DataFrame)
     wanted = terms if many else spark.createDataFrame([(0, t) for t in terms], "query_id int, term string")
-    stats = lengths(chunks, parity)
+    stats = stored[1] if stored else lengths(chunks, parity)
     total = stats.agg(F.count(F.lit(1)).alias("N"), F.avg("length").alias("mean")).first()
     size, mean = total["N"], total["mean"] or 1.0
-    found = postings(chunks, parity, wanted.select("term").distinct() if many else terms)
+    if stored:
+        found = stored[0].join(wanted.select("term").distinct(), "term", "left_semi") if many else stored[0].where(F.col("term").isin(terms))
+    else:
+        found = postings(chunks, parity, wanted.select("term").distinct() if many else terms)
     df = found.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log((F.lit(size) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     idf = F.when(idf <= 0, F.lit(IDF_FLOOR)).otherwise(idf)
     rows = found.join(df, "term").join(stats, "chunk_id").join(wanted, "term")
     part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / mean))
     keys = ["query_id", "chunk_id"] if many else ["chunk_id"]
-    return rows.groupBy(*keys).agg(F.sum(part).alias("score"))
+    return rows.groupBy(*keys).agg(F.round(F.sum(part), 9).alias("score"))  # equal chunks tie, in whatever order their parts are summed
 
 
-def search(chunks: DataFrame, query: str, limit: int = 5, license: str | None = None, role: str | None = None, parity: bool = False) -> DataFrame:
+def search(chunks: DataFrame, query: str, limit: int = 5, license: str | None = None, role: str | None = None, parity: bool = False, stored: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """``rank, score, excerpt, text`` and citation columns of the best ``limit`` pages.
 
     ``chunks``: chunk_id, document_id, title, body, page_start, page_end, and optionally license, content_role and further
@@ -90,7 +102,7 @@ def search(chunks: DataFrame, query: str, limit: int = 5, license: str | None =
     row = spark.range(1).select(query_terms(F.lit(query)).alias("t")).first()["t"]
     terms = spark.createDataFrame([(t,) for t in row], "t string").select(F.explode(tokens(F.col("t"), parity)).alias("term")).distinct()
     terms = [r["term"] for r in terms.collect()]  # 64 terms at most
-    hits = scores(chunks, terms, parity).join(chunks, "chunk_id")
+    hits = scores(chunks, terms, parity, stored).join(chunks, "chunk_id")
     if license is not None:
         hits = hits.where(F.coalesce(F.col("license"), F.lit("unknown")) == license)
     if role is not None:

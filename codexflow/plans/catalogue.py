@@ -68,6 +68,13 @@ def normalized_hash(spark, d):
     return spread(table(spark, d, "documents")).select("doc_id", S.normalized_sha256(F.col("text")).alias("normalized_sha256"))
 
 
+@query("""SELECT item_id, sha256(trim(regexp_replace(lower(nfc_normalize(replace(text, 'ß', 'z') || ' CAFE' || chr(769) || ' ΣΟΦΟΣ Škoda')), '\\s+', ' ', 'g'))) AS normalized_sha256 FROM benchmark""")
+def normalized_hash_marks(spark, d):
+    """Passages with decomposed marks and Greek capitals at their end."""
+    text = F.concat(F.replace("text", F.lit("ß"), F.lit("z")), F.lit(" CAFE\u0301 ΣΟΦΟΣ Škoda"))
+    return table(spark, d, "benchmark").select("item_id", S.normalized_sha256(text).alias("normalized_sha256"))
+
+
 @query(f"""SELECT digest, count(*) AS copies, min(doc_id) AS first_id, max(doc_id) AS last_id
 FROM (SELECT doc_id, sha256({NORM}) AS digest FROM documents) GROUP BY digest HAVING count(*) > 1""")
 def exact_duplicates(spark, d):
@@ -278,7 +285,7 @@ tot AS (SELECT count(*) AS n, avg(length) AS mean FROM len),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM c) GROUP BY ALL),
 df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
 q AS (SELECT item_id, unnest(list_distinct({TOK})) AS term FROM benchmark),
-s AS (SELECT item_id, doc_id, sum(CASE WHEN ln((n - df + 0.5) / (df + 0.5)) <= 0 THEN 1e-6 ELSE ln((n - df + 0.5) / (df + 0.5)) END * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / mean))) AS score
+s AS (SELECT item_id, doc_id, round(sum(CASE WHEN ln((n - df + 0.5) / (df + 0.5)) <= 0 THEN 1e-6 ELSE ln((n - df + 0.5) / (df + 0.5)) END * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / mean))), 9) AS score
 FROM q JOIN tf USING (term) JOIN df USING (term) JOIN len USING (doc_id), tot GROUP BY item_id, doc_id)"""
 
 
@@ -297,6 +304,14 @@ def postings(spark, d):
     return retrieval.postings(document_chunks(spark, d))
 
 
+@query("""SELECT item_id AS chunk_id, term, CAST(count(*) AS DOUBLE) AS tf FROM (SELECT item_id,
+unnest(regexp_extract_all(strip_accents(replace(lower(text || ' Škoda CAFE' || chr(769) || ' Ångström ἀγάπη'), 'ß', 'ss')), '[\\p{L}\\p{N}]+')) AS term FROM benchmark) GROUP BY 1, 2""")
+def postings_marks(spark, d):
+    """Passages with marks beyond Latin-1 at their end, composed and not."""
+    body = F.concat("text", F.lit(" Škoda CAFE\u0301 Ångström ἀγάπη"))
+    return retrieval.postings(table(spark, d, "benchmark").select(F.col("item_id").alias("chunk_id"), F.lit(None).cast("string").alias("title"), body.alias("body")))
+
+
 @query(f"""WITH {BM25_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s)
 SELECT CAST(rank AS INTEGER) AS rank, doc_id, round(score, 6) AS score FROM r WHERE item_id = (SELECT min(item_id) FROM benchmark) AND rank <= 10""")
 def bm25_search(spark, d):
