@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import copy
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -70,9 +71,9 @@ def shortened(keys, depth: int):
     return keys & ((1 << (9 + 8 * depth)) - 1)
 
 
-def bucket_of(context, buckets: int):
-    """The bucket of contexts of at least HEAD + 1 bytes, by their last HEAD + 1: the same over arrays and columns."""
-    return (context * 2654435761) % (1 << 31) % buckets
+def bucket_of(context, buckets: int, shifted: Callable = np.right_shift):
+    """The bucket of contexts of at least HEAD + 1 bytes, by all of their last HEAD + 1: the same over arrays and, with F.shiftright, columns."""
+    return shifted((context * 2654435761) % (1 << 31), 7) % buckets
 
 
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -249,7 +250,7 @@ def learn(texts: DataFrame, where: str) -> tuple[SuffixTree | None, DataFrame, i
     """
     spark = texts.sparkSession
     counted = texts.mapInArrow(_count_grams, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    grams = shared.stored(counted, f"{where}/grams")
+    grams = shared.stored(counted, f"{where}/grams", compression="zstd")
     positions, distinct = grams.agg(F.sum("n"), F.count(F.lit(1))).first()
     if not positions:
         return None, spark.createDataFrame([], TREE), 1
@@ -258,9 +259,10 @@ def learn(texts: DataFrame, where: str) -> tuple[SuffixTree | None, DataFrame, i
     levels = [level_of(key, n, depth) for depth in range(HEAD + 1)]
     buckets = max(BUCKETS, math.ceil(distinct / BUCKET_GRAMS))
     suffix = F.shiftright("key", 9).bitwiseAND((1 << (8 * (HEAD + 1))) - 1)
-    dealt = grams.select(bucket_of(suffix, buckets).cast("int").alias("bucket"), "key", "n")
+    dealt = grams.select(bucket_of(suffix, buckets, F.shiftright).cast("int").alias("bucket"), "key", "n")
     grown = dealt.groupBy("bucket").applyInArrow(_grow(spark.sparkContext.broadcast(levels), positions), TREE)
     table = shared.stored(grown, f"{where}/tree")
+    shared.removed(spark, f"{where}/grams")
     marked = np.zeros(0, np.int64)
     for row in table.where(F.col("depth") == HEAD).select("contexts").toLocalIterator():
         marked = np.union1d(marked, np.frombuffer(row.contexts, np.int64))
@@ -416,7 +418,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     where = shared.shared_dir(spark)
     rows = shared.id_and_text(docs, id_col, text_col).withColumn("held_out", F.coalesce(shared.crc_mod("doc_id", 10) == 0, F.lit(True)))
     head, tree, buckets = learn(rows.where(~F.col("held_out")).select("text"), where)
-    chunks = shared.stored(rows.mapInArrow(_chunked(buckets), CHUNKS), f"{where}/chunks")
+    chunks = shared.stored(rows.mapInArrow(_chunked(buckets), CHUNKS), f"{where}/chunks", compression="zstd")
     tokens = chunks.where(F.col("token").isNotNull())
     bodies = chunks.where(F.col("body").isNotNull())
     end_count = bodies.agg(F.sum("n")).first()[0] or 0
