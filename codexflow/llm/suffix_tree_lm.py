@@ -34,7 +34,7 @@ from codexflow.llm.ppm_language import Table
 
 DEPTH = 5
 END = 256
-CHUNK = 10 << 20
+CHUNK = 14 << 20
 PIECE = 1 << 18
 LEAST_CONTEXT, LEAST_SYMBOL = 4, 2
 HEAD = 2
