@@ -46,30 +46,40 @@ def counter(path: str):
     return lambda texts: [len(x.ids) for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
-LOCAL = "doc_id long, n_bytes long, local long, content_sha256 binary, content binary"
+LOCAL = "doc_id long, n_bytes long, local long, content_sha256 binary"
+TEXTS = "content_sha256 binary, content binary"
 
 
-def _distinct_locally(batches):
-    """A row for each document; the first row of each text within a task's stretch also carries its digest and content, compressed."""
-    pack, held = zstandard.ZstdCompressor(level=1).compress, {}
+def _first_seen(batches):
+    """Batches with their texts as bytes, the digest of each, and whether it is the first of its text in the task's stretch."""
+    held: dict[bytes, int] = {}
     task, serial = TaskContext.get().partitionId() << 40, 0
     for batch in shared.chunks(batches):
-        local, digests, content, sizes = [], [], [], []
-        for text in pc.cast(pc.fill_null(batch.column("text"), ""), pa.binary()).to_pylist():
-            digest = hashlib.sha256(text).digest()
-            first = digest not in held
-            if first:
+        texts = pc.cast(pc.fill_null(batch.column("text"), ""), pa.binary()).to_pylist()
+        digests, first = [hashlib.sha256(text).digest() for text in texts], []
+        for digest in digests:
+            first.append(digest not in held)
+            if first[-1]:
                 held[digest] = task + serial
                 serial += 1
-            local.append(held[digest])
-            sizes.append(len(text))
-            digests.append(digest if first else None)
-            content.append(pack(text) if first else None)
+        yield batch, texts, digests, first, [held[digest] for digest in digests]
         if len(held) > 500_000:
             held.clear()
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(local, pa.int64()), pa.array(digests, pa.binary()), pa.array(content, pa.binary())], names=["doc_id", "n_bytes", "local", "content_sha256", "content"]
-        )
+
+
+def _local_rows(batches):
+    """A row for each document; the first row of each text within a task's stretch also carries its digest."""
+    for batch, texts, digests, first, local in _first_seen(batches):
+        digests = [digest if own else None for digest, own in zip(digests, first, strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(x) for x in texts], pa.int64()), pa.array(local, pa.int64()), pa.array(digests, pa.binary())], names=["doc_id", "n_bytes", "local", "content_sha256"])
+
+
+def _local_texts(batches):
+    """Each text of a task's stretch once, compressed, with its digest."""
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for _, texts, digests, first, _ in _first_seen(batches):
+        some = [k for k, own in enumerate(first) if own]
+        yield pa.RecordBatch.from_arrays([pa.array([digests[k] for k in some], pa.binary()), pa.array([pack(texts[k]) for k in some], pa.binary())], names=["content_sha256", "content"])
 
 
 def _encode(path: str, tokenizer: str):
@@ -105,10 +115,10 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None =
         return stored.groupBy("content_sha256").agg(F.max("n_tokens").alias("n_tokens"))
 
     # a text that a third of all rows share meets the digest join as one row for each task, and its own task's rows after that
-    rows = shared.stored(docs.mapInArrow(_distinct_locally, LOCAL), f"{shared.shared_dir(spark)}/rows", compression="uncompressed")
-    texts = rows.where(F.col("content").isNotNull()).select("local", "content_sha256", "content")
-    misses = texts.select("content_sha256", "content").join(cached().select("content_sha256"), "content_sha256", "left_anti").dropDuplicates(["content_sha256"])
+    rows = shared.stored(docs.mapInArrow(_local_rows, LOCAL), f"{shared.shared_dir(spark)}/rows")
+    texts = docs.mapInArrow(_local_texts, TEXTS)
+    misses = texts.join(cached().select("content_sha256"), "content_sha256", "left_anti").dropDuplicates(["content_sha256"])
     misses.mapInArrow(_encode(tokenizer_path, tokenizer), CACHE).write.mode("append").parquet(cache_path)
 
-    counts = texts.select("local", "content_sha256").join(cached(), "content_sha256").select("local", "n_tokens")
+    counts = rows.where(F.col("content_sha256").isNotNull()).select("local", "content_sha256").join(cached(), "content_sha256").select("local", "n_tokens")
     return rows.select("doc_id", "n_bytes", "local").join(counts, "local").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
