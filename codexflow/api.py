@@ -134,7 +134,7 @@ def dedup(spark: SparkSession, corpus: str, profile: str | None = None, max_pair
     documents = _read(spark, corpus, "documents").where("status = 'ready'")
     documents = documents.where(F.col("profile") == profile) if profile else retrieval.guard_versions(documents)
     rows = documents.select(F.col("document_id").alias("doc_id"), "simhash", F.col("normalized_text_sha256").alias("digest"))
-    return near_duplicates.candidate_report(near_duplicates.near_pairs(rows), rows, max_pairs)
+    return near_duplicates.candidate_report(rows, rows, max_pairs)
 
 
 def index(spark: SparkSession, corpus: str, destination: str, include_needs_review: bool = False, profile: str | None = None) -> DataFrame:

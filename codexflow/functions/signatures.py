@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -13,8 +14,11 @@ from pyspark.sql import functions as F
 
 from codexflow.functions.text import normalized
 
-BANDS = 4
-_BITS = np.arange(64, dtype=np.uint64)
+DISTANCE = 3
+_STRETCH = 1 << 16
+# A band is a choice of three of six blocks of a signature, as a mask.
+_BLOCKS = [((1 << (64 * (k + 1) // 6)) - 1) ^ ((1 << (64 * k // 6)) - 1) for k in range(6)]
+BANDS = [sum(kept) for kept in combinations(_BLOCKS, 6 - DISTANCE)]
 
 
 def normalized_sha256(text: Column) -> Column:
@@ -26,11 +30,12 @@ def simhash_of(text: str | None) -> int | None:
     words = re.findall(r"\w+", " ".join(unicodedata.normalize("NFC", text or "").casefold().split()))
     if len(words) < 3:
         return None
-    raw = b"".join(hashlib.blake2b(" ".join(words[i : i + 3]).encode(), digest_size=8).digest() for i in range(len(words) - 2))
-    hashes = np.frombuffer(raw, ">u8").astype(np.uint64)
-    ones = np.array([int(((hashes >> bit) & np.uint64(1)).sum()) for bit in _BITS], np.int64)
-    value = int(((2 * ones > len(hashes)).astype(np.uint64) << _BITS).sum(dtype=np.uint64))
-    return value - (1 << 64) if value >= 1 << 63 else value
+    grams = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)]
+    ones = np.zeros(64, np.int64)
+    for start in range(0, len(grams), _STRETCH):
+        raw = b"".join([hashlib.blake2b(g.encode(), digest_size=8).digest() for g in grams[start : start + _STRETCH]])
+        ones += np.unpackbits(np.frombuffer(raw, np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(grams)).tobytes(), "big", signed=True)
 
 
 def _simhashes(texts: pd.Series) -> pd.Series:
@@ -71,5 +76,5 @@ def simhash_md5(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def bands(signature: Column) -> Column:
-    """The four 16-bit bands of a signature."""
-    return F.array(*(F.shiftrightunsigned(signature, 16 * k).bitwiseAND(0xFFFF) for k in range(BANDS)))
+    """The signature under each mask of BANDS: two that differ in up to DISTANCE bits agree under one of them."""
+    return F.array(*(signature.bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask).cast("long")) for mask in BANDS))

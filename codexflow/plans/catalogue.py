@@ -254,8 +254,10 @@ def simhash_md5_signature(spark, d):
     return S.simhash_md5(spread(table(spark, d, "documents")))
 
 
-@query(f"""WITH {MD5_SQL} SELECT a.doc_id AS left_id, b.doc_id AS right_id, CAST(bit_count(xor(a.simhash, b.simhash)) AS INTEGER) AS hamming_distance
-FROM sig a JOIN sig b ON a.doc_id < b.doc_id WHERE bit_count(xor(a.simhash, b.simhash)) <= 3""")
+@query(f"""WITH {MD5_SQL}, c AS (SELECT simhash, min(doc_id) AS doc_id FROM sig GROUP BY simhash)
+SELECT a.doc_id AS left_id, b.doc_id AS right_id, CAST(bit_count(xor(a.simhash, b.simhash)) AS INTEGER) AS hamming_distance
+FROM c a JOIN c b ON a.doc_id < b.doc_id WHERE bit_count(xor(a.simhash, b.simhash)) <= 3
+UNION ALL SELECT c.doc_id, sig.doc_id, CAST(0 AS INTEGER) FROM c JOIN sig USING (simhash) WHERE sig.doc_id <> c.doc_id""")
 def simhash_near_pairs(spark, d):
     return near_duplicates.near_pairs(S.simhash_md5(spread(table(spark, d, "documents"))))
 
@@ -266,8 +268,7 @@ SELECT left_id, right_id, hamming_distance, x.digest = y.digest AS normalized_ex
 FROM p JOIN n x ON x.doc_id = left_id JOIN n y ON y.doc_id = right_id ORDER BY left_id, right_id LIMIT 100000""")
 def dedup_report(spark, d):
     docs = spread(table(spark, d, "documents"))
-    pairs = near_duplicates.near_pairs(S.simhash_md5(docs))
-    return near_duplicates.candidate_report(pairs, docs.select("doc_id", S.normalized_sha256(F.col("text")).alias("digest")))
+    return near_duplicates.candidate_report(S.simhash_md5(docs), docs.select("doc_id", S.normalized_sha256(F.col("text")).alias("digest")))
 
 
 @query()

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import unicodedata
 
 import pytest
@@ -90,22 +91,36 @@ def test_simhash_follows_the_definition(value):
     assert signatures.simhash_of(value) == simhash_by_definition(value)
 
 
-def test_near_pairs_equal_all_pairs(spark):
-    import random
+def close_pairs(values):
+    ids = [i for i, v in enumerate(values) if v is not None]
+    pairs = [(a, b, bin((values[a] ^ values[b]) & (1 << 64) - 1).count("1")) for a in ids for b in ids if a < b]
+    return [p for p in pairs if p[2] <= 3]
 
+
+def signatures_with_copies():
     rng = random.Random(1)
     base = [rng.getrandbits(64) - (1 << 63) for _ in range(12)]
-    values = base + [b ^ sum(1 << rng.randrange(63) for _ in range(rng.randint(0, 4))) for b in base for _ in range(5)] + [None, base[0]]
+    near = [b ^ sum(1 << k for k in rng.sample(range(63), rng.randint(0, 4))) for b in base for _ in range(5)]
+    return base + near + [None, -1, 0, 7, base[0]] + [base[3]] * 9 + [base[3] ^ 5] * 6
+
+
+def test_near_pairs_link_representatives_and_copies(spark):
+    values = signatures_with_copies()
     rows = spark.createDataFrame(list(enumerate(values)), "doc_id long, simhash long")
-    got = {(r.left_id, r.right_id, r.hamming_distance) for r in near_duplicates.near_pairs(rows).collect()}
-    want = {(a, b, bin((values[a] ^ values[b]) & (1 << 64) - 1).count("1")) for a in range(len(values)) for b in range(a + 1, len(values)) if values[a] is not None and values[b] is not None}
-    assert got == {x for x in want if x[2] <= 3}
+    got = sorted((r.left_id, r.right_id, r.hamming_distance) for r in near_duplicates.near_pairs(rows).collect())
+    rep = {v: values.index(v) for v in values}
+    copies = [(rep[v], i, 0) for i, v in enumerate(values) if v is not None and rep[v] != i]
+    assert got == sorted([p for p in close_pairs(values) if p[0] == rep[values[p[0]]] and p[1] == rep[values[p[1]]]] + copies)
     with pytest.raises(ValueError):
         near_duplicates.near_pairs(rows, 4)
+    assert near_duplicates.near_pairs(rows.where("simhash IS NULL")).count() == 0
 
 
-def test_candidate_report_tells_of_a_cut(spark):
-    pairs = spark.createDataFrame([(1, 2, 0), (1, 3, 1)], "left_id long, right_id long, hamming_distance int")
-    digests = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "doc_id long, digest string")
-    assert [tuple(r) for r in near_duplicates.candidate_report(pairs, digests, 1).collect()] == [(1, 2, 0, True, "review_candidate", True)]
-    assert {r.truncated for r in near_duplicates.candidate_report(pairs, digests, 2).collect()} == {False}
+@pytest.mark.parametrize("most", [1, 7, 40, 10_000])
+def test_candidate_report_is_the_first_of_all_pairs(spark, most):
+    values = signatures_with_copies()
+    rows = spark.createDataFrame(list(enumerate(values)), "doc_id long, simhash long")
+    digests = rows.select("doc_id", (F.col("doc_id") % 2).cast("string").alias("digest"))
+    every = sorted(close_pairs(values))
+    got = sorted(tuple(r) for r in near_duplicates.candidate_report(rows, digests, most).collect())
+    assert got == [(a, b, n, (b - a) % 2 == 0, "review_candidate", len(every) > most) for a, b, n in every[:most]]
