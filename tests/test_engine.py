@@ -296,7 +296,7 @@ def test_corpus_end_to_end(spark, tmp_path):
     assert api.export(spark, corpus, str(tmp_path / "e3"), kind="chunks", format="jsonl", shard_rows=1)["rows"] >= 3
     with pytest.raises(Exception):
         api.export(spark, corpus, str(tmp_path / "e1"))
-    assert api.dedup(spark, corpus).count() in (0, 1)
+    assert [tuple(r)[:4] for r in api.dedup(spark, corpus).collect()] == [("A", "B", 0, True)]  # the same text but for spaces
     api.run(pages.where("document_id = 'B'").withColumn("fingerprint", F.lit("f2")), corpus, api.Config(profile_tag="other"))
     with pytest.raises(ValueError):
         api.dedup(spark, corpus)
