@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_MOST = 250_000  # numbers, hence 2 MB
+CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 1 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -42,9 +43,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame, where: str, **options: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it back: this cuts the lineage and survives lost executors."""
-    df.write.options(**options).parquet(where)
-    return df.sparkSession.read.schema(df.schema).parquet(where)
+    """Writes ``df`` to the shared folder and reads it back: this cuts the lineage and survives lost executors.
+
+    The shuffle files of this one write go as soon as it is done, not when the driver happens to collect its garbage: no other
+    execution reads them, and the table holds their rows. A later execution of ``df`` itself makes its own.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get(CLEANUP_CONF, "false")
+    spark.conf.set(CLEANUP_CONF, "true")
+    try:
+        df.select("*").write.options(**options).parquet(where)  # a frame of its own: the setting counts where a frame is made
+    finally:
+        spark.conf.set(CLEANUP_CONF, before)
+    return spark.read.schema(df.schema).parquet(where)
 
 
 def removed(spark: SparkSession, *where: str) -> None:

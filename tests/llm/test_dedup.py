@@ -2,6 +2,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -210,3 +211,19 @@ def test_connected(spark):
     edges = [(5, 4), (4, 3), (3, 2), (10, 11), (11, 12), (12, 10), (7, 7), (20, 21), (21, 20)] + [(100, 100 + k) for k in range(1, 30)]
     got = {r.node: r.component for r in components.connected(spark.createDataFrame(edges, "a long, b long"), shared.shared_dir(spark)).collect()}
     assert got == {5: 2, 4: 2, 3: 2, 11: 10, 12: 10, 21: 20, **{100 + k: 100 for k in range(1, 30)}}
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    def files():
+        names = [str(f) for f in spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles())]
+        return {n for n in names if "shuffle_" in n}
+
+    before, setting = files(), spark.conf.get(shared.CLEANUP_CONF, "false")
+    rows = spark.range(1000).repartition(4, "id")
+    table = shared.stored(rows, f"{shared.shared_dir(spark)}/rows")
+    deadline = time.time() + 20
+    while files() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not files() - before
+    assert spark.conf.get(shared.CLEANUP_CONF, "false") == setting
+    assert table.count() == rows.count() == 1000
