@@ -276,30 +276,31 @@ def _met(batches):
 
 
 def _verify(batches):
+    """Of pairs with their texts those whose sets link. A text that a batch holds many times, as a leader's, is cut into shingles once."""
     for batch in batches:
+        texts = [pc.fill_null(batch.column(c), "") for c in ("text_a", "text_b")]
+        coded = pa.concat_arrays(texts).dictionary_encode()
+        sets, at = shingles(coded.dictionary), coded.indices.to_pylist()
         keep = []
-        for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist(), strict=True):
-            x, y = np.frombuffer(x, np.uint64).reshape(2, -1), np.frombuffer(y, np.uint64).reshape(2, -1)
-            both = overlap(x, y)
-            keep.append(100 * both >= 80 * (x.shape[1] + y.shape[1] - both))
+        for i, j in zip(at[: batch.num_rows], at[batch.num_rows :], strict=True):
+            both = overlap(sets[i], sets[j])
+            keep.append(both > 0 and 100 * both >= 80 * (sets[i].shape[1] + sets[j].shape[1] - both))
         keep = pa.array(keep, pa.bool_())
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
-
-
-def _sets(batches):
-    for batch in shared.chunks(batches, limit=2 << 20):
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s.tobytes() for s in shingles(batch.column("text"))], pa.binary())], names=["doc", "members"])
+    shared.trim()
 
 
 def verified(docs: DataFrame, pairs: DataFrame, where: str) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose whole sets link, written at ``where``."""
+    """Those of ``pairs`` (a, b) whose whole sets link, written at ``where``.
+
+    Whole texts meet, not their shingles, which take 16 bytes for every word and can't be compressed. Texts are never broadcast.
+    """
     needed = shared.stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"{where}-needed")
-    sets = docs.join(shared.small(needed), "doc_id", "left_semi").mapInArrow(_sets, "doc long, members binary")
-    sets = shared.stored(sets, f"{where}-sets", compression="uncompressed")
-    with_b = pairs.join(sets.withColumnsRenamed({"doc": "b", "members": "set_b"}), "b")
-    both = with_b.join(sets.withColumnsRenamed({"doc": "a", "members": "set_a"}), "a")
+    texts = shared.stored(docs.join(shared.small(needed), "doc_id", "left_semi").select("doc_id", "text"), f"{where}-texts", compression="zstd")
+    with_b = pairs.join(texts.toDF("b", "text_b").hint("merge"), "b")
+    both = with_b.join(texts.toDF("a", "text_a").hint("merge"), "a").select("a", "b", "text_a", "text_b")
     links = shared.stored(both.mapInArrow(_verify, "a long, b long"), where)
-    shared.removed(docs.sparkSession, f"{where}-needed", f"{where}-sets")
+    shared.removed(docs.sparkSession, f"{where}-needed", f"{where}-texts")
     return links
 
 
