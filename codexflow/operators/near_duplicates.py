@@ -25,14 +25,15 @@ def close_classes(classes: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
     Three differing bits touch three of six blocks at most, so that two signatures agree in one of the 20 choices of three
     blocks. A band holds 30 bits or more: at 10^9 signatures a bucket still holds one on average. A pair comes from its
-    first common band alone, which saves a distinct over all candidates.
+    first common band alone, which saves a distinct over all candidates. Bands are never broadcast: Spark estimates an exploded
+    table at the size of its input, a twentieth of what the driver would have to hold.
     """
     if not 0 <= distance <= DISTANCE:
         raise ValueError(f"the bands find pairs of up to {DISTANCE} bits only")
     banded = classes.select("simhash", F.posexplode(bands(F.col("simhash"))).alias("band", "value"))
     left, right = banded.withColumnRenamed("simhash", "a"), banded.withColumnRenamed("simhash", "b")
     same = F.transform(F.arrays_zip(bands(F.col("a")).alias("x"), bands(F.col("b")).alias("y")), lambda z: z["x"] == z["y"])
-    met = left.join(right, ["band", "value"]).where("a < b").where(_hamming("a", "b") <= distance)
+    met = left.join(right.hint("merge"), ["band", "value"]).where("a < b").where(_hamming("a", "b") <= distance)
     return met.where(F.array_position(same, F.lit(True)) == F.col("band") + 1).select("a", "b", _hamming("a", "b").alias("hamming_distance"))
 
 
