@@ -81,7 +81,7 @@ def candidate_report(signatures: DataFrame, digests: DataFrame, most: int = 100_
     low = F.when(alone, F.col("i") + 1).otherwise(F.lit(1)).cast("long")
     high = F.least(F.col("nb"), F.when(alone, F.floor(F.lit(most) / F.col("i") + (F.col("i") + 1) / 2)).otherwise(F.floor(F.lit(most) / F.col("i")))).cast("long")
     ranks = sized.join(left, "a").withColumn("low", low).withColumn("high", high).where("low <= high")
-    pairs = ranks.select("b", "x", "hamming_distance", F.explode(F.sequence("low", "high")).alias("j")).join(right, ["b", "j"])
+    pairs = ranks.select("b", "x", "hamming_distance", F.explode(F.sequence("low", "high")).alias("j")).join(right.hint("merge"), ["b", "j"])  # exploded rows are more than Spark estimates
     kept = pairs.select(F.least("x", "y").alias("left_id"), F.greatest("x", "y").alias("right_id"), "hamming_distance").orderBy("left_id", "right_id").limit(most)
     a, b = digests.select(F.col("doc_id").alias("left_id"), F.col("digest").alias("da")), digests.select(F.col("doc_id").alias("right_id"), F.col("digest").alias("db"))
     rows = kept.join(a, "left_id").join(b, "right_id")
