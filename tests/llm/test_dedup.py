@@ -227,3 +227,36 @@ def test_stored_tables_leave_no_shuffle_files(spark):
     assert not files() - before
     assert spark.conf.get(shared.CLEANUP_CONF, "false") == setting
     assert table.count() == rows.count() == 1000
+
+
+def test_unlinked_near_copies_meet_once_a_pair(spark, monkeypatch):
+    rng = random.Random(4)
+    base = [f"w{k}" for k in range(200)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        for k in rng.sample(range(200), rng.randint(2, 9)):
+            words[k] = f"x{rng.randrange(40)}"
+        rows.append((i, " ".join(words)))
+    met, apart = [], shingle_join._apart
+
+    def counted(placed):
+        pairs = apart(placed)
+        met.extend((r.a, r.b) for r in pairs.select("x.doc", "y.doc").toDF("a", "b").collect())
+        return pairs
+
+    monkeypatch.setattr(shingle_join, "_apart", counted)
+    compare(spark, rows)
+    assert len(set(met)) > 50 and len(met) < 1.2 * len(set(met))
+
+
+def test_the_pair_of_two_documents_comes_from_their_most_crowded_key(spark):
+    keys = [(key, doc, pos, key % 5 + 2) for doc, first in ((1, 0), (2, 3), (3, 40)) for pos, key in enumerate(range(first, first + 20))]
+    rows = spark.createDataFrame(keys, "key long, doc long, pos int, crowd long").selectExpr(
+        "*", "100 AS n", "2 AS least", "doc AS label", "9L AS major", *(f"IF(doc = 3, NULL, 0L) AS {c}" for c in shingle_join.FOLDED)
+    )
+    got = [(r.x.doc, r.y.doc, r.met) for r in shingle_join._apart(shingle_join._placed(rows)).collect()]
+    assert got == [(1, 2, shingle_join.MOST)]
+    plain = rows.withColumns({c: shingle_join.F.lit(None).cast("long") for c in shingle_join.FOLDED})
+    got = [(r.x.doc, r.y.doc, r.met) for r in shingle_join._apart(shingle_join._placed(plain)).collect()]
+    assert got == [(1, 2, 1)] * 17
