@@ -9,6 +9,7 @@ from codexflow.functions.signatures import DISTANCE, bands
 from codexflow.sources.shared import stored
 
 ACTION = "review_candidate"
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 1 << 20
 
 
 def _hamming(a: str, b: str) -> Column:
@@ -16,8 +17,19 @@ def _hamming(a: str, b: str) -> Column:
 
 
 def _known(signatures: DataFrame) -> DataFrame:
-    """Signed documents, written down once: every step below reads them again."""
-    return stored(signatures.where(F.col("simhash").isNotNull()).select("doc_id", "simhash"))
+    """Signed documents, written down once: every step below reads them again.
+
+    Null signatures are left out of what is read, not of what is written: Spark would push that filter below a signature made in
+    Python, and make each one twice. Meanwhile texts go to Python by the megabyte: at Spark's 64 MB, a task holds 10,000 of them.
+    """
+    spark = signatures.sparkSession
+    before = spark.conf.get(BATCH_CONF)
+    spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
+    try:
+        known = stored(signatures.select("doc_id", "simhash"))
+    finally:
+        spark.conf.set(BATCH_CONF, before)
+    return known.where(F.col("simhash").isNotNull())
 
 
 def close_classes(classes: DataFrame, distance: int = DISTANCE) -> DataFrame:
