@@ -86,7 +86,8 @@ def scores(chunks: DataFrame, terms: list[str] | DataFrame, parity: bool = False
     rows = found.join(df, "term").join(stats, "chunk_id").join(wanted, "term")
     part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / mean))
     keys = ["query_id", "chunk_id"] if many else ["chunk_id"]
-    return rows.groupBy(*keys).agg(F.round(F.sum(part), 9).alias("score"))  # equal chunks tie, in whatever order their parts are summed
+    whole = F.sum(part.cast("decimal(28,18)")).cast("double")  # equal chunks tie, in whatever order their parts are summed
+    return rows.groupBy(*keys).agg(whole.alias("score"))
 
 
 def search(chunks: DataFrame, query: str, limit: int = 5, license: str | None = None, role: str | None = None, parity: bool = False, stored: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:

@@ -313,13 +313,18 @@ def postings_marks(spark, d):
     return retrieval.postings(table(spark, d, "benchmark").select(F.col("item_id").alias("chunk_id"), F.lit(None).cast("string").alias("title"), body.alias("body")))
 
 
+def nine(scored: DataFrame) -> DataFrame:
+    """Scores as the SQL ranks them: to nine decimals."""
+    return scored.withColumn("score", F.round("score", 9))
+
+
 @query(f"""WITH {BM25_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s)
 SELECT CAST(rank AS INTEGER) AS rank, doc_id, round(score, 6) AS score FROM r WHERE item_id = (SELECT min(item_id) FROM benchmark) AND rank <= 10""")
 def bm25_search(spark, d):
     """The ten best documents for the first benchmark passage."""
     first = table(spark, d, "benchmark").orderBy("item_id").limit(1).select(F.explode(F.array_distinct(retrieval.tokens(F.col("text")))).alias("term"))
     terms = [r["term"] for r in first.collect()]  # the terms of one passage
-    best = retrieval.scores(document_chunks(spark, d), terms).orderBy(F.desc("score"), "chunk_id").limit(10)
+    best = nine(retrieval.scores(document_chunks(spark, d), terms)).orderBy(F.desc("score"), "chunk_id").limit(10)
     return best.select(F.row_number().over(Window.orderBy(F.desc("score"), "chunk_id")).alias("rank"), F.col("chunk_id").alias("doc_id"), F.round("score", 6).alias("score"))
 
 
@@ -338,7 +343,7 @@ SELECT CAST(row_number() OVER (ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
 def page_deduped_topk(spark, d):
     chunks = document_chunks(spark, d)
     first = table(spark, d, "benchmark").orderBy("item_id").limit(1).select(F.explode(F.array_distinct(retrieval.tokens(F.col("text")))).alias("term"))
-    hits = retrieval.scores(chunks, [r["term"] for r in first.collect()]).join(chunks, "chunk_id")
+    hits = nine(retrieval.scores(chunks, [r["term"] for r in first.collect()])).join(chunks, "chunk_id")
     return retrieval.page_hits(hits, 5).select("rank", F.col("chunk_id").alias("doc_id"), "document_id", "page_start", F.round("score", 6).alias("score"))
 
 
