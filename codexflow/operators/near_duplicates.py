@@ -9,7 +9,8 @@ from codexflow.functions.signatures import DISTANCE, bands
 from codexflow.sources.shared import stored
 
 ACTION = "review_candidate"
-BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 1 << 20
+# Texts in a batch: bytes of those that go to Python, and number of those read at once. Spark takes 64 MB or 10,000, and 4,096.
+BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": str(1 << 20), "spark.sql.parquet.columnarReaderBatchSize": "256"}
 
 
 def _hamming(a: str, b: str) -> Column:
@@ -20,15 +21,17 @@ def _known(signatures: DataFrame) -> DataFrame:
     """Signed documents, written down once: every step below reads them again.
 
     Null signatures are left out of what is read, not of what is written: Spark would push that filter below a signature made in
-    Python, and make each one twice. Meanwhile texts go to Python by the megabyte: at Spark's 64 MB, a task holds 10,000 of them.
+    Python, and make each one twice. Meanwhile texts are held in small batches.
     """
-    spark = signatures.sparkSession
-    before = spark.conf.get(BATCH_CONF)
-    spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
+    conf = signatures.sparkSession.conf
+    before = {k: conf.get(k) for k in BATCHES}
     try:
+        for k, v in BATCHES.items():
+            conf.set(k, v)
         known = stored(signatures.select("doc_id", "simhash"))
     finally:
-        spark.conf.set(BATCH_CONF, before)
+        for k, v in before.items():
+            conf.set(k, v)
     return known.where(F.col("simhash").isNotNull())
 
 
