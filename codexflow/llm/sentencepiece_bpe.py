@@ -23,6 +23,7 @@ from codexflow.llm.ppm_language import Table
 
 MARK = "▁"
 NONE = np.iinfo(np.int64).max
+CODE = 32  # bits of a merged id beside its rank
 LOCKSTEP = 64
 CELLS = 120_000  # symbols of the words merged at once, padding included
 
@@ -62,6 +63,8 @@ class Agenda:
                     ranks.append(rank[p])
                     merged.append(i)
         self.keys, self.rank, self.merged = (np.array(x, np.int64) for x in (keys, ranks, merged))
+        self.code = np.append(self.rank << CODE | self.merged, NONE)
+        self.ties = len(order) < len(self.ids)  # of different pieces; leftmost goes first among these too
         self.table = Table(self.keys)
         points = [(ord(p), i) for p, i in self.ids.items() if len(p) == 1]
         self.char = np.full(max(c for c, _ in points) + 1, -1, np.int64)
@@ -73,52 +76,40 @@ class Agenda:
         """Rank and merged id by key, for long words only."""
         return dict(zip(self.keys.tolist(), zip(self.rank.tolist(), self.merged.tolist(), strict=True), strict=True))
 
-    def look_up(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank and merged id of each pair; NONE where there is no such merge."""
-        at = self.table.find(np.where((a < 0) | (b < 0), -1, a * self.size + b).ravel()).reshape(a.shape)
-        return np.where(at >= 0, self.rank[at], NONE), self.merged[at]
+    def look_up(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank and merged id of each pair, in one number; NONE where there is no such merge."""
+        keys = a.astype(np.int64) * self.size + b
+        keys[(a < 0) | (b < 0)] = -1
+        return self.code[self.table.find(keys.ravel())].reshape(a.shape)  # the last code, of place -1, is NONE
 
     def in_lockstep(self, symbols: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Merges all rows at once. ``symbols``: rows of ids, -2-c for an unknown character c, -1 beyond ``length``."""
         out, left = symbols.copy(), length.copy()
-        rank, merged = self.look_up(symbols[:, :-1], symbols[:, 1:])
-        beyond = np.arange(1, symbols.shape[1])[None, :] >= length[:, None]
-        rank[beyond] = NONE
-        rows = np.arange(len(symbols))
-        raw = symbols
-        while len(rows):
-            best = rank.argmin(1)
-            here = np.arange(len(rows))
-            going = rank[here, best] != NONE
+        raw, rows, pairs = symbols, np.arange(len(symbols)), self.look_up(symbols[:, :-1], symbols[:, 1:])
+        while True:
+            best = (pairs >> CODE).argmin(1) if self.ties else pairs.argmin(1)
+            code = pairs[np.arange(len(rows)), best]
+            going = code != NONE
             if not going.all():
                 done = ~going
                 out[rows[done], : raw.shape[1]], left[rows[done]] = raw[done], length[done]
-                rows, raw, rank, merged, length, best = rows[going], raw[going], rank[going], merged[going], length[going], best[going]
-                here = np.arange(len(rows))
+                rows, raw, pairs, length, best, code = rows[going], raw[going], pairs[going], length[going], best[going], code[going]
                 if not len(rows):
-                    break
-            width = int(length.max())
-            raw, rank, merged = raw[:, :width], rank[:, : width - 1], merged[:, : width - 1]
-            new = merged[here, best]
-            column = np.arange(width)[None, :]
-            take = np.minimum(column + (column > best[:, None]), width - 1)
-            raw = np.take_along_axis(raw, take, 1)
-            raw[here, best] = new
+                    return out, left
+            # the merged symbol takes the left one's place; those after the right one, and their pairs, move up
+            n, width = raw.shape
+            here = np.arange(n)
+            raw[here, best] = code & ((1 << CODE) - 1)
+            column = np.arange(width)
+            raw = raw[column != best[:, None] + 1].reshape(n, width - 1)
             length = length - 1
-            if width > 2:
-                column = column[:, : width - 2]
-                take = column + (column >= best[:, None])  # the pair at best is gone; those after it move up
-                rank, merged = np.take_along_axis(rank, take, 1), np.take_along_axis(merged, take, 1)
-                for at, ok in ((best - 1, best > 0), (best, best < length - 1)):
-                    if ok.any():
-                        r, c = here[ok], at[ok]
-                        rank[r, c], merged[r, c] = self.look_up(raw[r, c], raw[r, c + 1])
-                over = np.arange(width - 2)[None, :] >= (length - 1)[:, None]
-                rank[over] = NONE
-            else:
-                rank, merged = np.full((len(rows), 1), NONE), np.zeros((len(rows), 1), np.int64)
-                raw = np.concatenate([raw, np.full((len(rows), 1), -1)], 1)[:, :2]
-        return out, left
+            if width == 2:
+                out[rows, :1], left[rows] = raw, length
+                return out, left
+            pairs = pairs[column[:-1] != best[:, None]].reshape(n, width - 2)
+            for at, ok in ((best - 1, best > 0), (best, best < length - 1)):
+                r, c = here[ok], at[ok]
+                pairs[r, c] = self.look_up(raw[r, c], raw[r, c + 1])
 
     def with_heap(self, chars: str) -> list[int]:
         """The same agenda for one long word, as a heap over a linked list of symbols; -2-c stands for unknown c."""
@@ -287,21 +278,17 @@ def encode_and_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id",
         library, encoder = sentencepiece.SentencePieceProcessor(model_file=model_path), Encoder(model_path)
         decimals = Decimals(encoder.agenda.size)
         shared.trim()
-        for batch in shared.chunks(batches, limit=1 << 20):
+        for batch in shared.chunks(batches):
             texts = pc.fill_null(batch.column("text"), "")
             ids, bounds = encoder(texts)
             columns = [[], []]
-            for part in shared.chunks([batch.slice(0)], limit=1 << 18):  # lists of a few documents' ids at a time
-                at = len(columns[0])
-                own = [ids[bounds[k] : bounds[k + 1]].tolist() for k in range(at, at + part.num_rows)]
-                if check:
-                    theirs = library.encode(texts.slice(at, part.num_rows).to_pylist(), num_threads=1)
-                    for k, (x, y) in enumerate(zip(own, theirs, strict=True)):
-                        if x != y:
-                            raise ValueError(f"document {part.column('doc_id')[k]}: the agenda's ids differ from the library's")
-                decoded = [library.decode(x) if x else "" for x in own]
-                columns[0] += own if keep == "ids" else [len(x) for x in own]
-                columns[1] += decoded if keep == "ids" else [hashlib.sha256(x.encode()).hexdigest() for x in decoded]
+            for k, text in enumerate(texts):
+                own = ids[bounds[k] : bounds[k + 1]]
+                if check and not np.array_equal(own, library.EncodeAsNumpy(text.as_py())):
+                    raise ValueError(f"document {batch.column('doc_id')[k]}: the agenda's ids differ from the library's")
+                decoded = library.decode(own) if len(own) else ""
+                columns[0].append(own if keep == "ids" else len(own))
+                columns[1].append(decoded if keep == "ids" else hashlib.sha256(decoded.encode()).hexdigest())
             if keep == "ids":
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(columns[0], pa.list_(pa.int32())), pa.array(columns[1], pa.string())], names=["doc_id", "ids", "decoded"])
             else:

@@ -88,6 +88,33 @@ def test_lockstep_and_heap_agree():
     assert [x.tolist() for x in own] == [agenda.fallen_back(np.array(agenda.with_heap(w.replace(" ", "▁"))))[0].tolist() for w in words]
 
 
+def test_lockstep_and_heap_agree_on_pieces_of_equal_score():
+    agenda = sentencepiece_bpe.Agenda(PIECE)
+    agenda.rank = agenda.rank // 500
+    agenda.code = np.append(agenda.rank << sentencepiece_bpe.CODE | agenda.merged, sentencepiece_bpe.NONE)
+    agenda.ties = True
+    rng = random.Random(2)
+    words = [" " + "".join(rng.choice("abcdeinorst") for _ in range(rng.randint(1, 60))) for _ in range(300)]
+    ids, sizes = agenda.words(pa.array([w.encode() for w in words], pa.large_binary()))
+    own = np.split(ids, np.cumsum(sizes)[:-1])
+    assert [x.tolist() for x in own] == [agenda.with_heap(w.replace(" ", "▁")) for w in words]
+
+
+def test_a_word_of_three_megabytes_of_texts_is_merged_once(monkeypatch):
+    class Frame:
+        def mapInArrow(self, function, schema):
+            return function
+
+    merged, words = [], sentencepiece_bpe.Agenda.words
+    monkeypatch.setattr(shared, "id_and_text", lambda *_: Frame())
+    monkeypatch.setattr(sentencepiece_bpe.Agenda, "words", lambda self, some: merged.extend(some.to_pylist()) or words(self, some))
+    rows = [pa.RecordBatch.from_pydict({"doc_id": pa.array([k]), "text": [f"the mill number {k} " * 20_000]}) for k in range(9)]
+    got = pa.Table.from_batches(sentencepiece_bpe.encode_and_decode(Frame(), PIECE)(iter(rows)))
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECE)
+    assert got.column("n_tokens").to_pylist() == [len(library.encode(x.column("text")[0].as_py())) for x in rows]
+    assert len(merged) == len(set(merged))
+
+
 def test_sentencepiece_over_odd_rows(spark):
     got = sentencepiece_bpe.encode_and_decode(cases.frame(spark), PIECE).collect()
     library = sentencepiece.SentencePieceProcessor(model_file=PIECE)
