@@ -18,6 +18,8 @@ an executor is lost. A shard is one task's share in ascending order.
 
 from __future__ import annotations
 
+import functools
+import json
 import os
 import struct
 import zlib
@@ -36,28 +38,126 @@ MAGIC, HEAD = b"CFTP", "<4sBBHIQQ"
 HEAD_SIZE = struct.calcsize(HEAD)
 BLOCK = 1 << 16
 CONTAINER = 1 << 20
-BATCH_TEXTS = 200
+BATCH_TEXTS = 10
+FEW = 1 << 20
+LETTER, NUMBER, WHITE, OTHER = range(4)
 GROUP = 1000  # shards that are summed up together
 FILES = "shard int, container int, body binary"
 
 
+_class = np.full(0x110000, OTHER, np.uint8)  # of code points
+_asked = np.zeros(0x1100, bool)  # pages of 256 code points
+
+
+def classes(points: np.ndarray) -> np.ndarray:
+    """The class of each code point, as the library's own regular expressions see it; a page is asked for when it is met first."""
+    from tokenizers import Regex, pre_tokenizers
+
+    met = np.zeros(len(_asked), bool)
+    met[points >> 8] = True
+    for page in np.flatnonzero(met & ~_asked).tolist():
+        every = "".join(map(chr, range(page << 8, (page + 1) << 8)))
+        for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (WHITE, r"\s+")):
+            for _, (begin, end) in pre_tokenizers.Split(Regex(pattern), "removed", invert=True).pre_tokenize_str(every):
+                _class[(page << 8) + begin : (page << 8) + end] = kind
+        _asked[page] = True
+    return _class[points]
+
+
+def borders(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the byte-level pre-tokenizer cuts texts: places in their bytes, which lie end to end.
+
+    Its pattern: 's|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+
+    """
+    if not len(data):
+        return np.zeros(0, np.int64)
+    points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+    place = np.flatnonzero((data & 0xC0) != 0x80)
+    n, kind = len(points), classes(points)
+    first = np.zeros(n + 3, bool)  # of a text
+    first[np.searchsorted(place, offsets)] = True
+    white, blank = kind == WHITE, points == 0x20
+    cut = np.zeros(n + 3, bool)
+    cut[1:n] = (kind[1:] != kind[:-1]) & ~(blank[:-1] & ~white[1:])  # a blank goes with what follows it
+    cut[1 : n - 1] |= white[:-2] & white[1:-1] & ~white[2:] & ~first[1 : n - 1] & ~first[2:n]  # as does the last of several spaces
+    # a contraction, which a match has to begin with
+    mark = np.flatnonzero(points == 0x27)
+    before = np.maximum(mark - 1, 0)
+    mark = mark[first[mark] | (kind[before] == LETTER) | (kind[before] == NUMBER) | (white[before] & ~blank[before])]
+    held = np.append(points, [0, 0])
+    one, two = np.where(first[mark + 1], 0, held[mark + 1]), np.where(first[mark + 1] | first[mark + 2], 0, held[mark + 2])
+    long = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    short = np.isin(one, [ord(c) for c in "stmd"])
+    cut[mark[long | short] + 1] = False
+    cut[mark[short] + 2] = cut[mark[long] + 3] = True
+    return place[np.flatnonzero(cut[:n] & ~first[:n])]
+
+
 def encoder(path: str):
     """A function from an array of texts to all their ids end to end, and the number of ids of each.
 
-    The tokenizers library encodes each whole text; equal texts of an array are encoded once.
+    The tokenizers library encodes each whole text; equal texts of an array are encoded once. Where merges are all that a
+    byte-level vocabulary does, the library merges a text without cutting it into words before. A merge across a word's
+    border would leave an id across it, as ids only grow; without one, each word had the merges of its own, and the ids
+    are those of the cut text. So the border of every word is looked for, and a text with an id across one, or with an
+    added token, is encoded by the tokenizer as it is; all further ones are once such texts are a third of a task's bytes and 1 MB.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
+    with open(path, encoding="utf-8") as f:
+        form = json.load(f)
+    added = [x["content"] for x in form.get("added_tokens") or []]
+    cutter, model = form.get("pre_tokenizer") or {}, form["model"]
+    vocabulary = model.get("vocab", {}) if model.get("type") == "BPE" else {}
+    plain = (
+        form.get("normalizer") is None and cutter.get("type") == "ByteLevel" and not cutter.get("add_prefix_space") and cutter.get("use_regex", True) and set(pre_tokenizers.ByteLevel.alphabet()) <= set(vocabulary)
+        and not any(model.get(x) for x in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges"))
+    )
+    if plain:
+        uncut = Tokenizer.from_file(path)
+        uncut.no_truncation()
+        uncut.no_padding()
+        uncut.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        size = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        size[list(vocabulary.values())] = [len(x) for x in vocabulary]  # bytes, each of them a character
+
+    def by(library, texts: list[str]) -> list[np.ndarray]:
+        parts = []
+        for at in range(0, len(texts), BATCH_TEXTS):
+            parts += [np.array(x.ids, np.uint32) for x in library.encode_batch_fast(texts[at : at + BATCH_TEXTS], add_special_tokens=False)]
+        return parts
+
+    tried = crossed = 0  # bytes
+
+    def whole(texts: pa.Array) -> list[np.ndarray]:
+        nonlocal tried, crossed
+        if not plain or 3 * crossed > max(tried, 3 * FEW):
+            return by(tokenizer, texts.to_pylist())
+        again = functools.reduce(np.logical_or, [pc.match_substring(texts, x).to_numpy(zero_copy_only=False) for x in added], np.zeros(len(texts), bool))
+        some = texts.filter(pa.array(~again))
+        parts, (data, offsets) = by(uncut, some.to_pylist()), shared.flat(some)
+        ends = np.concatenate([np.zeros(1, np.int64), *(size[x] for x in parts)]).cumsum()
+        ended = np.zeros(len(data) + 1, bool)
+        ended[ends] = True
+        cuts = borders(data, offsets)
+        across = np.zeros(len(some), bool)
+        across[np.searchsorted(offsets, cuts[~ended[cuts]], side="right") - 1] = True
+        if ends[-1] != len(data) or not ended[offsets].all():
+            raise ValueError("ids of a text do not have its bytes")
+        tried, crossed = tried + len(data), crossed + int(np.diff(offsets)[across].sum())
+        own = np.flatnonzero(~again)
+        again[own[across]] = True
+        rest = iter(by(tokenizer, texts.filter(pa.array(again)).to_pylist()))
+        merged = dict(zip(own.tolist(), parts, strict=True))
+        return [next(rest) if other else merged[k] for k, other in enumerate(again.tolist())]
 
     def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         coded = pc.fill_null(texts, "").dictionary_encode()
-        kinds, parts = coded.dictionary.to_pylist(), []
-        for at in range(0, len(kinds), BATCH_TEXTS):
-            parts += [np.array(x.ids, np.uint32) for x in tokenizer.encode_batch_fast(kinds[at : at + BATCH_TEXTS], add_special_tokens=False)]
+        parts = whole(coded.dictionary)
         own = [parts[k] for k in coded.indices.to_pylist()]
         return np.concatenate([np.zeros(0, np.uint32), *own]), np.array([len(x) for x in own], np.int64)
 

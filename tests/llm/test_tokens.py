@@ -1,4 +1,5 @@
 import hashlib
+import json
 import random
 import zlib
 
@@ -7,7 +8,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import sentencepiece
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from codexflow.llm import sentencepiece_bpe, shared, token_counts, token_planes
 from tests.llm import cases
@@ -31,6 +32,49 @@ def test_texts_encode_whole():
     assert [x.tolist() for x in own] == [x.ids for x in want]
 
 
+def test_borders_are_those_of_the_pre_tokenizer():
+    rng = random.Random(3)
+    odd = ["".join(rng.choice("'''sstmdrevl  \n\t.1aA\u00a0\u3000é×中٣Ⅷ\u0301\x85\u200b😀") for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    texts = [*odd_texts(500), *odd, "it'", "save", "''s", "a's's", "we'", "'ll", " 'save", "x'saved", "a  ", "  b", ""]
+    data, offsets = shared.flat(pa.array(texts))
+    want = set()
+    for text, at in zip(texts, offsets.tolist(), strict=False):
+        for _, (begin, _) in pre_tokenizers.ByteLevel(add_prefix_space=False).pre_tokenize_str(text):
+            want |= {at + len(text[:begin].encode())} if begin else set()
+    assert token_planes.borders(data, offsets).tolist() == sorted(want)
+
+
+def test_the_library_cuts_only_texts_with_ids_across_a_border(monkeypatch):
+    class Counted:
+        def __init__(self, own):
+            self.own = own
+
+        def __getattr__(self, name):
+            return getattr(self.own, name)
+
+        def __setattr__(self, name, value):
+            object.__setattr__(self, name, value) if name == "own" else setattr(self.own, name, value)
+
+        def encode_batch_fast(self, texts, **options):
+            got.extend([(json.loads(self.own.to_str())["pre_tokenizer"]["use_regex"], x) for x in texts])
+            return self.own.encode_batch_fast(texts, **options)
+
+    class Library:
+        from_file = staticmethod(lambda path: Counted(Tokenizer.from_file(path)))
+
+    got = []
+    monkeypatch.setattr("tokenizers.Tokenizer", Library)
+    texts = ["The mill stands by the river, and it's cold.", "he said 'save  me'", "a <|endoftext|> b"]
+    ids, counts = token_planes.encoder(BPE)(pa.array(texts))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [Tokenizer.from_file(BPE).encode(x, add_special_tokens=False).ids for x in texts]
+    assert sorted(x for cut, x in got if cut) == sorted(texts[1:]) and sorted(x for cut, x in got if not cut) == sorted(texts[:2])
+    # where most texts have such ids, later ones are cut at once
+    monkeypatch.setattr(token_planes, "FEW", 10)
+    encode = token_planes.encoder(BPE)
+    assert encode(pa.array(texts[1:2]))[0].tolist() == encode(pa.array(texts[1:2]))[0].tolist()
+    assert sum(not cut for cut, _ in got[-3:]) == 1
+
+
 @pytest.mark.parametrize("kind", [1, 8])
 @pytest.mark.parametrize("n", [0, 1, 7, 64, 1000])
 def test_containers_round_trip(kind, n):
