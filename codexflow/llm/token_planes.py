@@ -23,6 +23,7 @@ import json
 import os
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -93,42 +94,96 @@ def borders(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return place[np.flatnonzero(cut[:n] & ~first[:n])]
 
 
-def encoder(path: str):
-    """A function from an array of texts to all their ids end to end, and the number of ids of each.
-
-    The tokenizers library encodes each whole text; equal texts of an array are encoded once. Where merges are all that a
-    byte-level vocabulary does, the library merges a text without cutting it into words before. A merge across a word's
-    border would leave an id across it, as ids only grow; without one, each word had the merges of its own, and the ids
-    are those of the cut text. So the border of every word is looked for, and a text with an id across one, or with an
-    added token, is encoded by the tokenizer as it is; all further ones are once such texts are a third of a task's bytes and 1 MB.
-    """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer, pre_tokenizers
+@functools.lru_cache(maxsize=2)
+def loaded(library: type, path: str, changed: int, cut: bool):
+    """A tokenizer of the library, once in a process; ``cut``: as it is, else without cutting texts into words."""
+    from tokenizers import pre_tokenizers
 
-    tokenizer = Tokenizer.from_file(path)
+    tokenizer = library.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
+    if not cut:
+        tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    return tokenizer
+
+
+@functools.lru_cache(maxsize=2)
+def vocabulary_of(path: str, changed: int) -> tuple[list[str], np.ndarray, np.ndarray] | None:
+    """Added tokens, and of each id its bytes and whether a word's border can be inside it; None unless merges are all that a byte-level vocabulary does.
+
+    Inside an id, its own characters decide on a border, but for a white one at its end (the next character does) and for
+    contractions: so ids are looked at with a letter behind them, and those with an apostrophe count as ids with a border.
+    One that lacks the last byte of a character is looked at with each such byte; other parts of characters count as well,
+    where another character begins inside.
+    """
+    from tokenizers import pre_tokenizers
+
     with open(path, encoding="utf-8") as f:
         form = json.load(f)
-    added = [x["content"] for x in form.get("added_tokens") or []]
     cutter, model = form.get("pre_tokenizer") or {}, form["model"]
     vocabulary = model.get("vocab", {}) if model.get("type") == "BPE" else {}
     plain = (
         form.get("normalizer") is None and cutter.get("type") == "ByteLevel" and not cutter.get("add_prefix_space") and cutter.get("use_regex", True) and set(pre_tokenizers.ByteLevel.alphabet()) <= set(vocabulary)
         and not any(model.get(x) for x in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges"))
     )
-    if plain:
-        uncut = Tokenizer.from_file(path)
-        uncut.no_truncation()
-        uncut.no_padding()
-        uncut.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        size = np.zeros(max(vocabulary.values()) + 1, np.int64)
-        size[list(vocabulary.values())] = [len(x) for x in vocabulary]  # bytes, each of them a character
-
-    def by(library, texts: list[str]) -> list[np.ndarray]:
+    if not plain:
+        return None
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # bytes that are their own character; the others follow from 256 on
+    byte_of = dict(zip([*shown, *range(256, 512)], [*shown, *(b for b in range(256) if b not in shown)], strict=False))
+    endings = [b"", *(bytes([x]) for x in range(0x80, 0xC0))]
+    size, loose, asked, rows = np.zeros(max(vocabulary.values()) + 1, np.int64), np.ones(max(vocabulary.values()) + 1, bool), [], []
+    for token, k in vocabulary.items():
+        size[k] = len(token)  # bytes, each of them a character
+        spelled = token.translate(byte_of).encode("latin-1", "replace")
+        if len(spelled) == 1 or all(x & 0xC0 == 0x80 for x in spelled[1:]):
+            loose[k] = False
+        elif b"'" not in spelled:
+            for ending in endings:
+                try:
+                    rows.append((spelled + ending).decode() + "a")
+                except UnicodeDecodeError:
+                    continue
+                asked.append(k)
+                if not ending:
+                    break
+    data, offsets = shared.flat(pa.array(rows, pa.string()))
+    asked, cuts = np.array(asked, np.int64), borders(data, offsets)
+    of = np.searchsorted(offsets, cuts, side="right") - 1
+    loose[asked] = False
+    loose[asked[of[cuts - offsets[of] < size[asked[of]]]]] = True
+    return [x["content"] for x in form.get("added_tokens") or []], size, loose
+
+
+def contracted(data: np.ndarray) -> np.ndarray:
+    """Where contractions may end: places in the bytes of texts."""
+    mark, held = np.flatnonzero(data == 0x27), np.append(data, np.zeros(2, np.uint8))
+    one, two = held[mark + 1], held[mark + 2]
+    long = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    return np.concatenate([mark[np.isin(one, [ord(c) for c in "stmd"])] + 2, mark[long] + 3])
+
+
+def encoder(path: str):
+    """A function from an array of texts to all their ids end to end, and the number of ids of each.
+
+    The tokenizers library encodes each whole text; equal texts of an array are encoded once. Where merges are all that a
+    byte-level vocabulary does, the library merges a text without cutting it into words before. A merge across a word's
+    border would leave an id across it, as ids only grow; without one, each word had the merges of its own, and the ids
+    are those of the cut text. So where an id of a text may have a border inside, or a contraction ends inside one, the border
+    of every word of that text is looked for, and a text with an id across one, or with an
+    added token, is encoded by the tokenizer as it is; all further ones are once such texts are a third of a task's bytes and 1 MB.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    changed = os.stat(path).st_mtime_ns
+    plain = vocabulary_of(path, changed)
+    added, size, loose = plain or ([], None, None)
+
+    def by(cut: bool, texts: list[str]) -> list[np.ndarray]:
         parts = []
         for at in range(0, len(texts), BATCH_TEXTS):
-            parts += [np.array(x.ids, np.uint32) for x in library.encode_batch_fast(texts[at : at + BATCH_TEXTS], add_special_tokens=False)]
+            some = loaded(Tokenizer, path, changed, cut).encode_batch_fast(texts[at : at + BATCH_TEXTS], add_special_tokens=False)
+            parts += [np.frombuffer(array("I", x.ids), np.uint32) for x in some]
         return parts
 
     tried = crossed = 0  # bytes
@@ -136,22 +191,30 @@ def encoder(path: str):
     def whole(texts: pa.Array) -> list[np.ndarray]:
         nonlocal tried, crossed
         if not plain or 3 * crossed > max(tried, 3 * FEW):
-            return by(tokenizer, texts.to_pylist())
+            return by(True, texts.to_pylist())
         again = functools.reduce(np.logical_or, [pc.match_substring(texts, x).to_numpy(zero_copy_only=False) for x in added], np.zeros(len(texts), bool))
         some = texts.filter(pa.array(~again))
-        parts, (data, offsets) = by(uncut, some.to_pylist()), shared.flat(some)
-        ends = np.concatenate([np.zeros(1, np.int64), *(size[x] for x in parts)]).cumsum()
+        parts, (data, offsets) = by(False, some.to_pylist()), shared.flat(some)
+        ids = np.concatenate([np.zeros(0, np.uint32), *parts])
+        ends = np.append(0, size[ids].cumsum())
         ended = np.zeros(len(data) + 1, bool)
         ended[ends] = True
-        cuts = borders(data, offsets)
-        across = np.zeros(len(some), bool)
-        across[np.searchsorted(offsets, cuts[~ended[cuts]], side="right") - 1] = True
         if ends[-1] != len(data) or not ended[offsets].all():
             raise ValueError("ids of a text do not have its bytes")
+
+        def texts_at(places: np.ndarray, among: np.ndarray = offsets) -> np.ndarray:
+            return np.unique(np.searchsorted(among, places, side="right") - 1)
+
+        turns = contracted(data)
+        doubted = np.union1d(texts_at(ends[:-1][loose[ids]]), texts_at(turns[~ended[turns]] - 2))
+        held, within = shared.flat(some.take(pa.array(doubted, pa.int64())))
+        cuts = borders(held, within)
+        shift = (offsets[doubted] - within[:-1])[np.searchsorted(within, cuts, side="right") - 1]
+        across = texts_at(cuts[~ended[cuts + shift]] + shift[~ended[cuts + shift]])
         tried, crossed = tried + len(data), crossed + int(np.diff(offsets)[across].sum())
         own = np.flatnonzero(~again)
         again[own[across]] = True
-        rest = iter(by(tokenizer, texts.filter(pa.array(again)).to_pylist()))
+        rest = iter(by(True, texts.filter(pa.array(again)).to_pylist()))
         merged = dict(zip(own.tolist(), parts, strict=True))
         return [next(rest) if other else merged[k] for k, other in enumerate(again.tolist())]
 
@@ -164,6 +227,14 @@ def encoder(path: str):
     return encode
 
 
+def turned(square: np.ndarray) -> np.ndarray:
+    """Each u64 as a square of 8 x 8 bits, turned over: bit i of byte j becomes bit j of byte i."""
+    for by, mask in ((7, 0x00AA00AA00AA00AA), (14, 0x0000CCCC0000CCCC), (28, 0x00000000F0F0F0F0)):
+        swap = (square ^ (square >> np.uint64(by))) & np.uint64(mask)
+        square = square ^ swap ^ (swap << np.uint64(by))
+    return square
+
+
 def packed(doc_ids: list, sizes: list[int], ids: np.ndarray, kind: int = 1, block: int = BLOCK, level: int = 3) -> bytes:
     """One container. ``kind``: bits in a plane's element, 1 or 8."""
     pack = zstandard.ZstdCompressor(level=level).compress
@@ -173,8 +244,10 @@ def packed(doc_ids: list, sizes: list[int], ids: np.ndarray, kind: int = 1, bloc
     for at in range(0, len(ids), block):
         part = ids[at : at + block].astype("<u4")
         if kind == 1:
-            bits = np.unpackbits(part.view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :planes]
-            bodies += [pack(x.tobytes()) for x in np.packbits(bits.T, axis=1, bitorder="little")]
+            octets = np.append(part, np.zeros(-len(part) % 8, "<u4")).view(np.uint8).reshape(-1, 4)
+            for k in range(0, planes, 8):
+                bits = turned(np.ascontiguousarray(octets[:, k // 8]).view("<u8")).view(np.uint8).reshape(-1, 8)
+                bodies += [pack(x.tobytes()) for x in bits.T[: planes - k]]
         else:
             bodies += [pack(x.tobytes()) for x in np.ascontiguousarray(part.view(np.uint8).reshape(-1, 4)[:, :planes].T)]
     index = np.concatenate([[0], np.cumsum([len(b) for b in bodies])]).astype("<u8")
@@ -208,9 +281,10 @@ class Container:
         if self.kind == 8:
             out[:, : self.planes] = np.stack(raw, 1)
         else:
-            bits = np.zeros((n, 32), np.uint8)
-            bits[:, : self.planes] = np.unpackbits(np.stack(raw), axis=1, bitorder="little")[:, :n].T
-            out = np.packbits(bits, axis=1, bitorder="little")
+            for k in range(0, self.planes, 8):
+                bits = np.zeros((-(-n // 8), 8), np.uint8)
+                bits[:, : self.planes - k] = np.stack(raw[k : k + 8], 1)
+                out[:, k // 8] = turned(bits.reshape(-1).view("<u8")).view(np.uint8)[:n]
         return out.view("<u4").ravel()
 
     def ids(self) -> np.ndarray:

@@ -75,6 +75,46 @@ def test_the_library_cuts_only_texts_with_ids_across_a_border(monkeypatch):
     assert sum(not cut for cut, _ in got[-3:]) == 1
 
 
+def test_borders_are_looked_for_only_where_an_id_may_have_one(monkeypatch):
+    rng = random.Random(8)
+    odd = ["".join(rng.choice(["'s", "'save", "'re", "'l", "'", " ", "  ", "\n\n", "\t", "the", " mill", "1", ".", "é", " é", "中", "\u00a0", "\u3000", "😀", "ave", "e"]) for _ in range(rng.randint(0, 25))) for _ in range(3000)]
+    texts = ["The mill stands by the río, and it's cold.", "a b's mill", "x'saved", "we'really", "", "the mill\n\nthe", *odd]
+    encode, looked, borders = token_planes.encoder(BPE), [], token_planes.borders
+    monkeypatch.setattr(token_planes, "borders", lambda data, offsets: looked.append(data.tobytes().decode()) or borders(data, offsets))
+    plain = "The mill stands by the río, él dice\nthat 1,200 wheels (of it) turn.\nÉl."
+    assert encode(pa.array([plain]))[0].tolist() == Tokenizer.from_file(BPE).encode(plain, add_special_tokens=False).ids
+    assert not any(looked)
+    ids, counts = encode(pa.array([plain, *texts, plain + " "]))
+    want = Tokenizer.from_file(BPE).encode_batch([plain, *texts, plain + " "], add_special_tokens=False)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [x.ids for x in want]
+    assert plain not in looked[-1] and "x'saved" in looked[-1]
+
+
+def test_no_border_is_inside_an_id_that_counts_as_without():
+    added, size, loose = token_planes.vocabulary_of(BPE, 0)
+    tokenizer, cutter = Tokenizer.from_file(BPE), pre_tokenizers.ByteLevel(add_prefix_space=False)
+    assert added == ["<|endoftext|>"] and 0 < loose.sum() < 1000
+    for k in random.Random(4).sample(np.flatnonzero(~loose).tolist(), 4000):
+        token = tokenizer.decode([k], skip_special_tokens=False)
+        if "\ufffd" in token or size[k] != len(token.encode()):
+            continue
+        for before, behind in (("", ""), ("a", "a"), (" ", " "), ("1", "1"), ("\n", "\n"), (".", "."), ("a ", "\u00a0a")):
+            for _, (begin, _) in cutter.pre_tokenize_str(before + token + behind):
+                assert not len(before) < begin < len(before + token), (before, token, behind)
+
+
+@pytest.mark.parametrize("n", [1, 8, 1001])
+def test_planes_are_the_bits_of_ids(n):
+    ids = np.random.default_rng(n).integers(0, 60_000, n).astype(np.uint32)
+    box = token_planes.Container(token_planes.packed([5], [n], ids, 1))
+    unpack = token_planes.zstandard.ZstdDecompressor().decompress
+    for k in range(box.planes):
+        assert unpack(box.body[box.base + box.index[k] : box.base + box.index[k + 1]]) == np.packbits(ids >> k & 1 > 0, bitorder="little").tobytes()
+    square = np.random.default_rng(n).integers(0, 1 << 63, 9).astype("<u8")
+    bits = np.unpackbits(square.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").reshape(-1, 8, 8)
+    assert np.packbits(bits.transpose(0, 2, 1).reshape(-1, 64), axis=1, bitorder="little").ravel().tobytes() == token_planes.turned(square).tobytes()
+
+
 @pytest.mark.parametrize("kind", [1, 8])
 @pytest.mark.parametrize("n", [0, 1, 7, 64, 1000])
 def test_containers_round_trip(kind, n):
