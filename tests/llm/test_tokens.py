@@ -1,6 +1,7 @@
 import hashlib
 import json
 import random
+import re
 import zlib
 
 import numpy as np
@@ -150,6 +151,20 @@ def test_planes_hold_every_document_in_order(spark, kind, monkeypatch):
     assert sorted((r.doc_id if r.doc_id is not None else -1, r.ids) for r in got) == want
 
 
+def test_where_ids_begin_is_found_without_the_bodies(spark):
+    path = shared.shared_dir(spark) + "/planes"
+    token_planes.write(cases.frame(spark), BPE, path)
+    got = token_planes.read_documents(spark, path)
+    scans = re.findall(r"ReadSchema: (struct<.*>)", got._jdf.queryExecution().executedPlan().toString())
+    assert len(scans) > 1 and sum("body" in x for x in scans) == 1
+    files = spark.read.schema(token_planes.FILES).parquet(path)
+    assert [r.n for r in files.collect()] == [token_planes.Container(bytes(r.body)).n for r in files.collect()]
+    wrong = shared.shared_dir(spark) + "/planes"
+    files.withColumn("n", files.n + 1).write.parquet(wrong)
+    with pytest.raises(Exception, match="ids, not"):
+        token_planes.read_documents(spark, wrong).collect()
+
+
 def test_planes_of_an_empty_table(spark):
     path = shared.shared_dir(spark) + "/planes"
     token_planes.write(cases.empty(spark), BPE, path)
