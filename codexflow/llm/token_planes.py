@@ -51,16 +51,22 @@ _class = np.full(0x110000, OTHER, np.uint8)  # of code points
 _asked = np.zeros(0x1100, bool)  # pages of 256 code points
 
 
-def classes(points: np.ndarray) -> np.ndarray:
-    """The class of each code point, as the library's own regular expressions see it; a page is asked for when it is met first."""
+@functools.cache
+def _runs() -> list:
+    """For each class but OTHER, what finds its runs. Compiling a pattern takes longer than asking for a page."""
     from tokenizers import Regex, pre_tokenizers
 
+    return [(kind, pre_tokenizers.Split(Regex(pattern), "removed", invert=True)) for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (WHITE, r"\s+"))]
+
+
+def classes(points: np.ndarray) -> np.ndarray:
+    """The class of each code point, as the library's own regular expressions see it; a page is asked for when it is met first."""
     met = np.zeros(len(_asked), bool)
     met[points >> 8] = True
     for page in np.flatnonzero(met & ~_asked).tolist():
         every = "".join(map(chr, range(page << 8, (page + 1) << 8)))
-        for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (WHITE, r"\s+")):
-            for _, (begin, end) in pre_tokenizers.Split(Regex(pattern), "removed", invert=True).pre_tokenize_str(every):
+        for kind, runs in _runs():
+            for _, (begin, end) in runs.pre_tokenize_str(every):
                 _class[(page << 8) + begin : (page << 8) + end] = kind
         _asked[page] = True
     return _class[points]
@@ -115,7 +121,7 @@ def vocabulary_of(path: str, changed: int) -> tuple[list[str], np.ndarray, np.nd
     Inside an id, its own characters decide on a border, but for a white one at its end (the next character does) and for
     contractions: so ids are looked at with a letter behind them, and those with an apostrophe count as ids with a border.
     One that lacks the last byte of a character is looked at with each such byte; other parts of characters count as well,
-    where another character begins inside.
+    where another character begins inside. ASCII letters behind a letter or a blank are never looked at: they have no border.
     """
     from tokenizers import pre_tokenizers
 
@@ -132,11 +138,11 @@ def vocabulary_of(path: str, changed: int) -> tuple[list[str], np.ndarray, np.nd
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # bytes that are their own character; the others follow from 256 on
     byte_of = dict(zip([*shown, *range(256, 512)], [*shown, *(b for b in range(256) if b not in shown)], strict=False))
     endings = [b"", *(bytes([x]) for x in range(0x80, 0xC0))]
-    size, loose, asked, rows = np.zeros(max(vocabulary.values()) + 1, np.int64), np.ones(max(vocabulary.values()) + 1, bool), [], []
+    size, loose, asked, rows = np.zeros(max(vocabulary.values()) + 1, np.int32), np.ones(max(vocabulary.values()) + 1, bool), [], []
     for token, k in vocabulary.items():
         size[k] = len(token)  # bytes, each of them a character
         spelled = token.translate(byte_of).encode("latin-1", "replace")
-        if len(spelled) == 1 or all(x & 0xC0 == 0x80 for x in spelled[1:]):
+        if len(spelled) == 1 or spelled[1:].isalpha() and (spelled[0] == 0x20 or spelled[:1].isalpha()) or all(x & 0xC0 == 0x80 for x in spelled[1:]):
             loose[k] = False
         elif b"'" not in spelled:
             for ending in endings:
@@ -180,29 +186,31 @@ def encoder(path: str):
     plain = vocabulary_of(path, changed)
     added, size, loose = plain or ([], None, None)
 
-    def by(cut: bool, texts: list[str]) -> list[np.ndarray]:
-        parts = []
+    def by(cut: bool, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and where those of each begin (with the end of the last)."""
+        ids, begins = array("I"), [0]
         for at in range(0, len(texts), BATCH_TEXTS):
-            some = loaded(Tokenizer, path, changed, cut).encode_batch_fast(texts[at : at + BATCH_TEXTS], add_special_tokens=False)
-            parts += [np.frombuffer(array("I", x.ids), np.uint32) for x in some]
-        return parts
+            for x in loaded(Tokenizer, path, changed, cut).encode_batch_fast(texts[at : at + BATCH_TEXTS], add_special_tokens=False):
+                ids.fromlist(x.ids)
+                begins.append(len(ids))
+        return np.frombuffer(ids, np.uint32), np.array(begins, np.int64)
 
     tried = crossed = 0  # bytes
 
-    def whole(texts: pa.Array) -> list[np.ndarray]:
+    def whole(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         nonlocal tried, crossed
-        if not plain or 3 * crossed > max(tried, 3 * FEW):
-            return by(True, texts.to_pylist())
         every = texts.to_pylist()
+        if not plain or 3 * crossed > max(tried, 3 * FEW):
+            return by(True, every)
         again = np.array([any(x in text for x in added) for text in every], bool)
-        some = texts.filter(pa.array(~again))
-        parts, (data, offsets) = by(False, [text for text, other in zip(every, again.tolist(), strict=True) if not other]), shared.flat(some)
-        ids = np.concatenate([np.zeros(0, np.uint32), *parts])
-        ends = np.append(0, size[ids].cumsum())
+        some = texts.filter(pa.array(~again)) if again.any() else texts
+        (ids, begins), (data, offsets) = by(False, [text for text, other in zip(every, again.tolist(), strict=True) if not other]), shared.flat(some)
+        ends = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum(size[ids], out=ends[1:])
+        if not np.array_equal(ends[begins], offsets):
+            raise ValueError("ids of a text do not have its bytes")
         ended = np.zeros(len(data) + 1, bool)
         ended[ends] = True
-        if ends[-1] != len(data) or not ended[offsets].all():
-            raise ValueError("ids of a text do not have its bytes")
 
         def texts_at(places: np.ndarray, among: np.ndarray = offsets) -> np.ndarray:
             return np.unique(np.searchsorted(among, places, side="right") - 1)
@@ -216,15 +224,25 @@ def encoder(path: str):
         tried, crossed = tried + len(data), crossed + int(np.diff(offsets)[across].sum())
         own = np.flatnonzero(~again)
         again[own[across]] = True
-        rest = iter(by(True, texts.filter(pa.array(again)).to_pylist()))
-        merged = dict(zip(own.tolist(), parts, strict=True))
-        return [next(rest) if other else merged[k] for k, other in enumerate(again.tolist())]
+        if not again.any():
+            return ids, begins
+        merged = dict(zip(own.tolist(), split(ids, begins), strict=True))
+        rest = iter(split(*by(True, [text for text, other in zip(every, again.tolist(), strict=True) if other])))
+        return joined([next(rest) if other else merged[k] for k, other in enumerate(again.tolist())])
+
+    def split(ids: np.ndarray, begins: np.ndarray) -> list[np.ndarray]:
+        return [ids[b:e] for b, e in zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True)]
+
+    def joined(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate([np.zeros(0, np.uint32), *parts]), np.cumsum([0, *map(len, parts)])
 
     def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         coded = pc.fill_null(texts, "").dictionary_encode()
-        parts = whole(coded.dictionary)
-        own = [parts[k] for k in coded.indices.to_pylist()]
-        return np.concatenate([np.zeros(0, np.uint32), *own]), np.array([len(x) for x in own], np.int64)
+        ids, begins = whole(coded.dictionary)
+        if len(coded.dictionary) < len(coded):
+            parts = split(ids, begins)
+            ids, begins = joined([parts[k] for k in coded.indices.to_pylist()])
+        return ids, np.diff(begins)
 
     return encode
 
@@ -246,7 +264,7 @@ def packed(doc_ids: list, sizes: list[int], ids: np.ndarray, kind: int = 1, bloc
     for at in range(0, len(ids), block):
         part = ids[at : at + block].astype("<u4")
         if kind == 1:
-            octets = np.append(part, np.zeros(-len(part) % 8, "<u4")).view(np.uint8).reshape(-1, 4)
+            octets = (np.append(part, np.zeros(-len(part) % 8, "<u4")) if len(part) % 8 else part).view(np.uint8).reshape(-1, 4)
             for k in range(0, planes, 8):
                 bits = turned(np.ascontiguousarray(octets[:, k // 8]).view("<u8")).view(np.uint8).reshape(-1, 8)
                 bodies += [pack(x) for x in np.ascontiguousarray(bits.T[: planes - k])]  # copying plane by plane is ten times as slow

@@ -104,6 +104,26 @@ def test_no_border_is_inside_an_id_that_counts_as_without():
                 assert not len(before) < begin < len(before + token), (before, token, behind)
 
 
+def test_plain_words_of_the_vocabulary_are_not_looked_at(monkeypatch):
+    looked, borders = [], token_planes.borders
+    monkeypatch.setattr(token_planes, "borders", lambda data, offsets: looked.extend(data[b:e].tobytes().decode() for b, e in zip(offsets[:-1], offsets[1:], strict=True)) or borders(data, offsets))
+    token_planes.vocabulary_of.__wrapped__(BPE, 0)
+    assert looked and not [x for x in looked if re.fullmatch(" ?[A-Za-z]+", x[:-1]) and len(x) > 2]
+    assert not {"\n\na", " !a", "00a"} - set(looked)
+
+
+def test_ids_have_to_be_those_of_their_own_text(monkeypatch):
+    class Shifted:
+        def encode_batch_fast(self, texts, **options):
+            ids = [own.encode(x, add_special_tokens=False).ids for x in texts]
+            return [type("Encoding", (), {"ids": x}) for x in (ids[0][:-1], ids[0][-1:] + ids[1], *ids[2:])]
+
+    own = Tokenizer.from_file(BPE)
+    monkeypatch.setattr(token_planes, "loaded", lambda *_: Shifted())
+    with pytest.raises(ValueError, match="do not have its bytes"):
+        token_planes.encoder(BPE)(pa.array(["the mill", " stands", " by"]))
+
+
 @pytest.mark.parametrize("n", [1, 8, 1001])
 def test_planes_are_the_bits_of_ids(n):
     ids = np.random.default_rng(n).integers(0, 60_000, n).astype(np.uint32)
